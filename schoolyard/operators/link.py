@@ -77,7 +77,7 @@ def link(child: DataFrame, *lookups: Lookup) -> DataFrame:
     out = keyed
     for i, (name, lookup) in enumerate(zip(names, lookups)):
         heads = _heads(lookup)
-        hot = frequent.filter(F.col("_which") == i).select("_join")
+        hot = frequent.filter(F.col("_which") == i).select("_join").distinct()
         # At most HOT_KEYS rows, because heads has one row per key.  Both joins
         # below read the same shuffle of the heads.
         settled = hot.join(heads, "_join", "left").select(
