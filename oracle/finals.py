@@ -5,13 +5,6 @@ from __future__ import annotations
 from schoolyard.plans.declared import CHECKS
 from schoolyard.sources.raw import RAW_TABLES
 
-# columns rendered as text, as the registered queries do
-_DATES = (
-    "created_at updated_at start_date end_date created_date updated_date order_date due_date "
-    "ship_date delivery_date invoice_date expected_delivery_date emissao_date "
-    "actual_delivery_date solved_at month"
-).split()
-
 
 def _all(table: str, dates: str) -> str:
     """Every column, the named ones as text."""
@@ -229,25 +222,20 @@ SELECT school_id, CAST(month AS VARCHAR) AS month FROM e_school CROSS JOIN x_mon
         "monthly_school_metrics": _all("r_monthly", "month"),
         "ytd_am_portfolio": "SELECT * FROM r_ytd",
         "rfc_school_month_sales": """
-SELECT school_id, any_value(s.name) AS school_name,
-       strftime(order_date, '%Y-%m-01') AS year_month,
-       CAST(sum(CAST(line_total AS DECIMAL(18,4))) AS DOUBLE) AS ordered_amount,
-       CAST(sum(CASE WHEN drops IS NULL THEN 0 ELSE CAST(line_total AS DECIMAL(18,4)) END)
-            AS DOUBLE) AS delivered_amount,
-       count(DISTINCT o.order_id) AS order_count,
-       (SELECT count(DISTINCT d.delivery_id) FROM e_delivery d JOIN e_order p USING (order_id)
-        WHERE coalesce(d.delivery_status_normalized, d.status) = 'delivered'
-          AND p.school_id = s.school_id AND NOT p.is_cancelled
-          AND p.order_date >= (SELECT max(order_date) - INTERVAL 12 MONTH FROM e_order)
-          AND strftime(p.order_date, '%Y-%m-01') = strftime(o.order_date, '%Y-%m-01')
-          AND p.order_id IN (SELECT order_id FROM e_item)) AS delivered_order_count
-FROM e_order o JOIN e_item USING (order_id) JOIN e_school s USING (school_id)
-LEFT JOIN (SELECT order_id, count(DISTINCT delivery_id) AS drops FROM e_delivery
-           WHERE coalesce(delivery_status_normalized, status) = 'delivered' GROUP BY order_id)
-USING (order_id)
-WHERE NOT o.is_cancelled
-  AND order_date >= (SELECT max(order_date) - INTERVAL 12 MONTH FROM e_order)
-GROUP BY s.school_id, strftime(order_date, '%Y-%m-01')""",
+SELECT s.school_id, s.name AS school_name, ym AS year_month,
+       CAST(sum(amount) AS DOUBLE) AS ordered_amount,
+       CAST(sum(CASE WHEN drops > 0 THEN amount ELSE 0 END) AS DOUBLE) AS delivered_amount,
+       count(*) AS order_count, CAST(sum(drops) AS BIGINT) AS delivered_order_count
+FROM (SELECT o.school_id, strftime(o.order_date, '%Y-%m-01') AS ym,
+             (SELECT sum(CAST(line_total AS DECIMAL(18,4))) FROM e_item i
+              WHERE i.order_id = o.order_id) AS amount,
+             (SELECT count(DISTINCT delivery_id) FROM e_delivery d WHERE d.order_id = o.order_id
+              AND coalesce(d.delivery_status_normalized, d.status) = 'delivered') AS drops
+      FROM e_order o
+      WHERE NOT o.is_cancelled AND o.order_id IN (SELECT order_id FROM e_item)
+        AND o.order_date >= (SELECT max(order_date) - INTERVAL 12 MONTH FROM e_order))
+JOIN e_school s USING (school_id)
+GROUP BY ALL""",
         "rfc_am_ytd_sales": """
 SELECT m.account_manager_id, any_value(m.name) AS am_name, any_value(ref) AS year,
        CAST(sum(CAST(line_total AS DECIMAL(18,4))) AS DOUBLE) AS ytd_ordered_amount,
@@ -259,11 +247,8 @@ JOIN x_year ON year(o.order_date) = ref
 JOIN e_item i ON i.order_id = o.order_id
 GROUP BY m.account_manager_id""",
         "cross_erp_duplicate_orders": """
-WITH priced AS (
-    SELECT source_system, contract_id, order_date, sum(CAST(line_total AS DECIMAL(18,4))) AS total
-    FROM e_order JOIN e_item USING (order_id, source_system) GROUP BY ALL, order_id)
 SELECT DISTINCT a.contract_id, CAST(a.order_date AS VARCHAR) AS order_date
-FROM priced a JOIN priced b ON a.contract_id = b.contract_id AND a.order_date = b.order_date
+FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_date = b.order_date
  AND a.source_system <> b.source_system AND abs(a.total - b.total) < 1""",
         "dq_unique": _checks("unique"),
         "dq_not_null": _checks("not_null"),

@@ -1,21 +1,18 @@
-"""Left lookup of parents that stays balanced when a key is hot or missing.
+"""Left lookup of parents that keeps a child's rows one to one and its tasks even.
 
-A plain left join sends every row of a key, and every row without a key, to one
-task.  With a customer holding a third of all orders, or a quarter of the orders
-naming no contract, that task decides the run time.  ``link`` therefore treats
-the rows of a child in three ways, in a single pass and with one shuffle per
-lookup:
+A plain left join has three weak spots on large, uneven data:
 
-* rows whose key is among the most frequent ones take their parent from a
-  broadcast of at most ``HOT_KEYS`` rows;
-* rows without a key have no parent;
-* the rest is joined by shuffling on the key.
+* a parent key that repeats multiplies the children; here the parents of a key are
+  reduced to one row first, map-side, so copies neither travel nor multiply;
+* every child without a key lands in the one task that NULL hashes to; here such
+  rows get a key that spreads them over all tasks and matches nothing;
+* a key held by a third of the children makes one task run long; adaptive
+  execution splits such a partition and hands each piece the same parents.
 
-Rows of the first two kinds are already settled.  They ride along the shuffle
-under a key that spreads them over all tasks and matches nothing.
-
-The frequent keys come from a bounded sketch that is merged map-side.  The sketch
-steers rows only: whichever keys it names, every row finds the same parent.
+The last point depends on the shape of the plan: a partition is split only if both
+sides of the join come straight out of a shuffle.  The reduced parents are already
+partitioned by their key, which would let the join skip that shuffle, so the join
+uses a key of its own, and the parents, the smaller side, are shuffled once more.
 """
 
 from __future__ import annotations
@@ -26,9 +23,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Every key with more than 1/HOT_KEYS of the rows is among this many top keys.
-HOT_KEYS = 256
-
 
 @dataclass(frozen=True)
 class Lookup:
@@ -37,7 +31,7 @@ class Lookup:
     ``key`` is a column of the child, NULL where the row cannot have a parent.
     ``take`` maps new child columns to parent columns; a child row without a
     parent gets NULLs.  Should a parent key repeat, the row that sorts lowest on
-    the taken columns is used, so a child row is never multiplied.
+    the taken columns is used.
     """
 
     key: Column
@@ -46,54 +40,33 @@ class Lookup:
     take: Mapping[str, str]
 
 
-def _heads(lookup: Lookup) -> DataFrame:
-    """One row per parent key; copies collapse before the shuffle."""
+def _parents(lookup: Lookup) -> DataFrame:
+    """One row per parent key."""
     row = F.struct(*[F.col(p).alias(c) for c, p in lookup.take.items()])
     return (
         lookup.parent.select(lookup.parent_key.cast("string").alias("_key"), row.alias("_row"))
         .filter(F.col("_key").isNotNull())
-        .groupBy(F.concat(F.lit("k"), F.col("_key")).alias("_join"))
+        .groupBy("_key")
         .agg(F.min("_row").alias("_row"))
+        .select(F.concat(F.lit("k"), F.col("_key")).alias("_join"), "_row")
     )
 
 
 def link(child: DataFrame, *lookups: Lookup) -> DataFrame:
-    """Add the columns of every lookup to the child; rows are kept one to one."""
-    columns = list(child.columns)
-    names = [f"_key{i}" for i in range(len(lookups))]
-    keyed = child.withColumns(
-        {n: F.concat(F.lit("k"), q.key.cast("string")) for n, q in zip(names, lookups)}
-    )
-    # One pass over the child finds the frequent keys of all its lookups.
-    tops = [
-        F.expr(f"approx_top_k({n}, {HOT_KEYS}) FILTER (WHERE {n} IS NOT NULL)") for n in names
-    ]
-    frequent = (
-        keyed.agg(F.array(*tops).alias("_tops"))
-        .select(F.posexplode("_tops").alias("_which", "_items"))
-        .select("_which", F.explode("_items.item").alias("_join"))
-    )
-
-    out = keyed
-    for i, (name, lookup) in enumerate(zip(names, lookups)):
-        heads = _heads(lookup)
-        hot = frequent.filter(F.col("_which") == i).select("_join").distinct()
-        # At most HOT_KEYS rows, because heads has one row per key.  Both joins
-        # below read the same shuffle of the heads.
-        settled = hot.join(heads, "_join", "left").select(
-            F.col("_join").alias(name), F.col("_row").alias("_hot"), F.lit(True).alias("_is_hot")
-        )
-        out = out.join(F.broadcast(settled), name, "left")
-        done = F.col("_is_hot").isNotNull() | F.col(name).isNull()
-        # The partition id keeps copies of one row apart; rerunning a task
-        # gives its rows the same value again.
-        spread = F.concat(
-            F.lit("s"), F.xxhash64(F.spark_partition_id(), *names).cast("string")
+    """Add the columns of every lookup to the child."""
+    out = child
+    for lookup in lookups:
+        key = lookup.key.cast("string")
+        # The partition id keeps copies of one row apart, and a task that is run
+        # again gives its rows the same value again.
+        spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in child.columns[:2]])
+        join_key = F.when(key.isNotNull(), F.concat(F.lit("k"), key)).otherwise(
+            F.concat(F.lit("s"), spread.cast("string"))
         )
-        out = out.withColumn("_join", F.when(done, spread).otherwise(F.col(name)))
-        out = out.join(heads, "_join", "left").withColumns(
-            {c: F.coalesce(F.col(f"_hot.{c}"), F.col(f"_row.{c}")) for c in lookup.take}
+        out = (
+            out.withColumn("_join", join_key)
+            .join(_parents(lookup), "_join", "left")
+            .withColumns({c: F.col(f"_row.{c}") for c in lookup.take})
+            .drop("_join", "_row")
         )
-        out = out.drop("_join", "_hot", "_is_hot", "_row")
-        columns += [c for c in lookup.take if c not in columns]
-    return out.select(*columns)
+    return out

@@ -392,13 +392,11 @@ def deliveries(unified: DataFrame, keys: DataFrame) -> DataFrame:
 # -- ticket ----------------------------------------------------------------
 
 
-def organization_schools(organization: DataFrame, school_dir: DataFrame) -> DataFrame:
-    """(organization_id, school_id): an organisation reaches its school by tax id."""
-    by_tax_id = school_dir.select("cnpj", "school_id")
-    return link(
-        organization.select("organization_id", "cnpj"),
-        Lookup(F.col("cnpj"), by_tax_id, F.col("cnpj"), {"school_id": "school_id"}),
-    ).select("organization_id", "school_id")
+def organization_schools(school_dir: DataFrame) -> DataFrame:
+    """(organization_id, school_id) of the organisations with a valid tax id."""
+    return school_dir.filter(F.col("source_system") == "support").select(
+        F.col("source_id").cast("bigint").alias("organization_id"), "school_id"
+    )
 
 
 def tickets(

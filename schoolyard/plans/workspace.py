@@ -16,9 +16,12 @@ from schoolyard.sources.star import StarSource
 class _Clean(Mapping):
     def __init__(self, raw):
         self._raw = raw
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        return CLEAN[table](self._raw[table])
+        if table not in self._built:
+            self._built[table] = CLEAN[table](self._raw[table])
+        return self._built[table]
 
     def __iter__(self):
         return iter(CLEAN)
@@ -124,9 +127,7 @@ class Workspace:
 
     @cached_property
     def organization_schools(self) -> DataFrame:
-        return curated.organization_schools(
-            self.clean["support_organization"], self.school_directory
-        )
+        return curated.organization_schools(self.school_directory)
 
     @cached_property
     def tickets(self) -> DataFrame:

@@ -11,11 +11,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Set the runtime options results depend on; leave cluster sizing alone.
 
     Source timestamps carry no zone and are read as UTC.  Adaptive execution
-    sizes shuffle partitions and broadcasts from what was actually shuffled.
+    sizes shuffle partitions and broadcasts from what was actually shuffled, and
+    splits the partitions of hot join keys, even where that costs a later shuffle.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     return spark
 

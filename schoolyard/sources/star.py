@@ -104,15 +104,21 @@ class StarSource:
             for name in dir(type(self))
             if not name.startswith("_")
         }
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self._rules[table]()
+        if table not in self._built:
+            self._built[table] = self._rules[table]()
+        return self._built[table]
 
     def __iter__(self):
         return iter(self._rules)
 
     def _read(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        # listing files and reading footers once per table, not once per use
+        if table not in self._built:
+            self._built[table] = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self._built[table]
 
     def _places(self, df: DataFrame, nation_key: str) -> DataFrame:
         # nation and region are dimension tables of fixed size; Catalyst sees
