@@ -9,7 +9,7 @@ from schoolyard.functions.dates import (
     month_of,
     valid_year,
 )
-from schoolyard.functions.keys import digits, norm_code, surrogate_key, valid_digits
+from schoolyard.functions.keys import digits, norm_code, scoped, surrogate_key, valid_digits
 from schoolyard.functions.status import map_status
 
 __all__ = [
@@ -23,6 +23,7 @@ __all__ = [
     "map_status",
     "month_of",
     "norm_code",
+    "scoped",
     "surrogate_key",
     "valid_digits",
     "valid_year",

@@ -42,6 +42,11 @@ def norm_code(c: Column | str) -> Column:
     return F.upper(F.btrim(_col(c), F.lit(WHITESPACE)))
 
 
+def scoped(system: Column | str, key: Column | str) -> Column:
+    """An id together with the system it belongs to, as one join key."""
+    return F.concat(_col(system), F.lit(":"), _col(key))
+
+
 def surrogate_key(*cols: Column | str) -> Column:
     """md5 hex over the parts as text, joined by ``-``; stable across runs."""
     parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_PART)) for c in cols]

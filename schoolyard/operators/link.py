@@ -31,25 +31,26 @@ class Lookup:
     ``key`` is a column of the child, NULL where the row cannot have a parent.
     ``take`` maps new child columns to parent columns; a child row without a
     parent gets NULLs.  Should a parent key repeat, the row that sorts lowest on
-    the taken columns is used.
+    the taken columns is used; ``unique`` says that keys cannot repeat, as in the
+    result of a grouping by the key, and saves that step.
     """
 
     key: Column
     parent: DataFrame
     parent_key: Column
     take: Mapping[str, str]
+    unique: bool = False
 
 
 def _parents(lookup: Lookup) -> DataFrame:
     """One row per parent key."""
     row = F.struct(*[F.col(p).alias(c) for c, p in lookup.take.items()])
-    return (
-        lookup.parent.select(lookup.parent_key.cast("string").alias("_key"), row.alias("_row"))
-        .filter(F.col("_key").isNotNull())
-        .groupBy("_key")
-        .agg(F.min("_row").alias("_row"))
-        .select(F.concat(F.lit("k"), F.col("_key")).alias("_join"), "_row")
-    )
+    keyed = lookup.parent.select(
+        lookup.parent_key.cast("string").alias("_key"), row.alias("_row")
+    ).filter(F.col("_key").isNotNull())
+    if not lookup.unique:
+        keyed = keyed.groupBy("_key").agg(F.min("_row").alias("_row"))
+    return keyed.select(F.concat(F.lit("k"), F.col("_key")).alias("_join"), "_row")
 
 
 def link(child: DataFrame, *lookups: Lookup) -> DataFrame:

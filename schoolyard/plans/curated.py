@@ -209,11 +209,6 @@ def orders_unified(sales_order: DataFrame, pedido: DataFrame) -> DataFrame:
     )
 
 
-def _scoped(system: Column | str, key: Column | str) -> Column:
-    """An id together with the system it belongs to, as one join key."""
-    return F.concat(system, F.lit(":"), key)
-
-
 def link_orders(unified: DataFrame, contract: DataFrame, school_dir: DataFrame) -> DataFrame:
     """Orders with contract, manager and school.
 
@@ -233,9 +228,9 @@ def link_orders(unified: DataFrame, contract: DataFrame, school_dir: DataFrame)
             },
         ),
         Lookup(
-            _scoped("source_system", "source_customer_id"),
+            fn.scoped("source_system", "source_customer_id"),
             school_dir,
-            _scoped("source_system", "source_id"),
+            fn.scoped("source_system", "source_id"),
             {"_customer_school": "school_id"},
         ),
     ).withColumn("school_id", F.coalesce("_contract_school", "_customer_school"))
@@ -272,9 +267,9 @@ def order_keys(unified: DataFrame) -> DataFrame:
 
 def _order_lookup(system: Column, keys: DataFrame) -> Lookup:
     return Lookup(
-        _scoped(system, "source_order_id"),
+        fn.scoped(system, "source_order_id"),
         keys,
-        _scoped("source_system", "source_order_id"),
+        fn.scoped("source_system", "source_order_id"),
         {"order_id": "order_id"},
     )
 
@@ -417,9 +412,15 @@ def tickets(
             F.col("source_order_id"),
             {"order_id": "order_id"},
         ),
+        Lookup(
+            F.col("ticket_id"),
+            joined_tags(tag, "ticket_id", "tag", "tags"),
+            F.col("ticket_id"),
+            {"tags": "tags"},
+            unique=True,
+        ),
     )
-    tags = joined_tags(tag, "ticket_id", "tag", "tags")
-    return linked.join(tags, "ticket_id", "left").select(
+    return linked.select(
         "ticket_id",
         "subject",
         "status",

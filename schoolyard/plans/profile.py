@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
 from schoolyard.functions.dates import FIRST_YEAR, LAST_YEAR
+from schoolyard.plans.report import with_activity
 
 
 def _share(part: str, whole: str) -> Column:
@@ -54,7 +55,7 @@ def contract_overlap(orders: DataFrame, lines: DataFrame) -> DataFrame:
         "source_system", "source_order_id", "contract_number"
     )
     per_contract = (
-        numbered.join(lines, ["source_system", "source_order_id"], "left")
+        with_activity(numbered, lines)
         .groupBy("contract_number")
         .agg(
             F.count_if(a).alias("erp_a_orders"),
@@ -112,13 +113,11 @@ def delivery_coverage(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
     ``deliveries`` carry the order's system and id.
     """
     key = ["source_system", "source_order_id"]
-    delivered = deliveries.select(*key).distinct().withColumn("_hit", F.lit(True))
+    delivered = deliveries.groupBy(*key).agg(F.count(F.lit(1)).alias("drops"))
     return (
-        orders.filter(~F.col("is_cancelled"))
-        .select(*key)
-        .join(delivered, key, "left")
+        with_activity(orders.filter(~F.col("is_cancelled")).select(*key), delivered)
         .groupBy("source_system")
-        .agg(F.count(F.lit(1)).alias("n_orders"), F.count("_hit").alias("n_delivered"))
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.count("drops").alias("n_delivered"))
         .withColumn("coverage", _share("n_delivered", "n_orders"))
     )
 
@@ -174,10 +173,10 @@ def duplicate_orders_across_systems(
     group = ["contract_id", "order_date"]
     a, b = F.col("source_system") == "erp_a", F.col("source_system") == "erp_b"
     amount = F.col("amount")
+    dated = orders.filter(F.col("contract_id").isNotNull() & F.col("order_date").isNotNull())
     priced = (
-        orders.filter(F.col("contract_id").isNotNull() & F.col("order_date").isNotNull())
-        .select("source_system", "source_order_id", *group)
-        .join(lines.filter(amount.isNotNull()), ["source_system", "source_order_id"])
+        with_activity(dated.select("source_system", "source_order_id", *group), lines)
+        .filter(amount.isNotNull())
         .withColumn("bucket", F.floor(amount / tolerance).cast("bigint"))
     )
     buckets = priced.groupBy(*group, "bucket").agg(
@@ -227,12 +226,12 @@ def delivered_sales(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("drops"))
     )
-    # the inner join keeps only orders that have lines
-    per_order = (
-        confirmed.select(*key, "school_id", fn.month_of("order_date").alias("year_month"))
-        .join(lines, key)
-        .join(drops, key, "left")
-    )
+    with_lines = lines.withColumn("has_lines", F.lit(True))
+    per_order = with_activity(
+        confirmed.select(*key, "school_id", fn.month_of("order_date").alias("year_month")),
+        with_lines,
+        drops,
+    ).filter("has_lines")
     names = schools.select("school_id", F.col("name").alias("school_name"))
     return (
         per_order.groupBy("school_id", "year_month")
@@ -264,15 +263,15 @@ def manager_sales(
     key = ["source_system", "source_order_id"]
     ref = year.scalar()
     active = contracts.filter(~F.col("is_cancelled")).select("contract_id").distinct()
-    sold = (
-        orders.filter(
-            ~F.col("is_cancelled")
-            & F.col("account_manager_id").isNotNull()
-            & fn.in_year("order_date", ref)
-        )
-        .select(*key, "contract_id", "school_id", "account_manager_id")
-        .join(lines, key)
+    confirmed = orders.filter(
+        ~F.col("is_cancelled")
+        & F.col("account_manager_id").isNotNull()
+        & fn.in_year("order_date", ref)
     )
+    sold = with_activity(
+        confirmed.select(*key, "contract_id", "school_id", "account_manager_id"),
+        lines.withColumn("has_lines", F.lit(True)),
+    ).filter("has_lines")
     per_school = (
         sold.groupBy("account_manager_id", "contract_id", "school_id")
         .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders"))

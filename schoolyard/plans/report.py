@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
-from schoolyard.operators import dense_months, month_list
+from schoolyard.operators import Lookup, dense_months, link, month_list
 from schoolyard.plans.curated import order_system_of_delivery
 
 ORDER_KEY = ["source_system", "source_order_id"]
@@ -65,6 +65,18 @@ def drops_per_order(deliveries: DataFrame) -> DataFrame:
     )
 
 
+def with_activity(orders: DataFrame, *activity: DataFrame) -> DataFrame:
+    """Orders with what was summed up per order; nothing found means NULLs.
+
+    The activity frames are all grouped by the order key, so they combine without
+    moving and the orders are shuffled once for all of them.
+    """
+    combined = reduce(lambda a, b: a.join(b, ORDER_KEY, "full"), activity)
+    key = fn.scoped(*ORDER_KEY)
+    wanted = {c: c for c in combined.columns if c not in ORDER_KEY}
+    return link(orders, Lookup(key, combined, key, wanted, unique=True))
+
+
 def _order_facts(
     orders: DataFrame, items: DataFrame, deliveries: DataFrame, parts: Collection[str]
 ) -> DataFrame:
@@ -74,7 +86,10 @@ def _order_facts(
     facts already at order grain.  Each order then lists its contributions: one in
     the month it was placed and one per month it was delivered in.
     """
-    joined = orders.select(*ORDER_KEY, "school_id", "order_date", "is_cancelled")
+    joined = orders.select(*ORDER_KEY, "school_id", "order_date", "is_cancelled").filter(
+        F.col("school_id").isNotNull()
+    )
+    activity: list[DataFrame] = []
     month = fn.month_of("order_date")
     placed: dict[str, Column] = {}
     if "orders" in parts:
@@ -84,7 +99,7 @@ def _order_facts(
             "cancelled_orders": F.col("is_cancelled").cast("bigint"),
         }
     if "items" in parts:
-        joined = joined.join(lines_per_order(items), ORDER_KEY, "left")
+        activity.append(lines_per_order(items))
         placed |= {
             "ordered_amount": F.col("amount"),
             "confirmed_amount": F.when(~F.col("is_cancelled"), F.col("amount")),
@@ -92,7 +107,7 @@ def _order_facts(
         }
     entries = F.when(F.col("order_date").isNotNull(), F.array(_entry(month, **placed)))
     if "deliveries" in parts:
-        joined = joined.join(drops_per_order(deliveries), ORDER_KEY, "left")
+        activity.append(drops_per_order(deliveries))
         delivered = F.transform(
             "drops",
             lambda d: _entry(
@@ -104,7 +119,9 @@ def _order_facts(
         )
         none = F.array().cast(f"array<{_entry_type()}>")
         entries = F.concat(F.coalesce(entries, none), F.coalesce(delivered, none))
-    return joined.filter(F.col("school_id").isNotNull()).select("school_id", F.inline(entries))
+    if activity:
+        joined = with_activity(joined, *activity)
+    return joined.select("school_id", F.inline(entries))
 
 
 def _entry_type() -> str:
@@ -261,9 +278,8 @@ def ytd_portfolio(
     per_order = (
         orders.filter(F.col("account_manager_id").isNotNull())
         .select(*ORDER_KEY, "account_manager_id", "school_id", sold.alias("sold"))
-        .join(lines_per_order(items), ORDER_KEY, "left")
-        .join(asked, ORDER_KEY, "left")
     )
+    per_order = with_activity(per_order, lines_per_order(items), asked)
     per_school = per_order.groupBy("account_manager_id", "school_id").agg(
         F.count_if("sold").alias("orders"),
         F.sum(F.when(F.col("sold"), F.col("amount"))).alias("amount"),
