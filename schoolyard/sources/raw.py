@@ -56,9 +56,14 @@ def raw_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table].split()])
 
 
-def read_csv(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_csv(
+    spark: SparkSession, folder: str, table: str, multiline: bool = False
+) -> DataFrame:
     """Scan ``<folder>/<table>.csv`` (a file or a folder of part files) as text.
 
+    Quoted line breaks need ``multiline``, which reads each file in one task; leave
+    it off for large files, which are then split.
+
     The header is checked against the declared columns: a moved or renamed column
     fails the load instead of shifting values into the wrong place.
     """
@@ -69,6 +74,7 @@ def read_csv(spark: SparkSession, folder: str, table: str) -> DataFrame:
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", multiline)
         .csv(f"{folder.rstrip('/')}/{table}.csv")
     )
 
