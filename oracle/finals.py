@@ -134,6 +134,13 @@ def _month_card(columns: str) -> str:
     return f"SELECT CAST(month AS VARCHAR) AS month, {columns} FROM r_monthly GROUP BY month"
 
 
+def _close_orders(tolerance: int) -> str:
+    return f"""
+SELECT DISTINCT a.contract_id, CAST(a.order_date AS VARCHAR) AS order_date
+FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_date = b.order_date
+ AND a.source_system <> b.source_system AND abs(a.total - b.total) < {tolerance}"""
+
+
 def finals() -> dict[str, str]:
     money = "CAST(sum(CAST(ordered_amount AS DECIMAL(18,4))) AS DOUBLE)"
     counts = ", ".join(
@@ -246,10 +253,8 @@ JOIN e_order o ON o.contract_id = c.contract_id AND NOT o.is_cancelled
 JOIN x_year ON year(o.order_date) = ref
 JOIN e_item i ON i.order_id = o.order_id
 GROUP BY m.account_manager_id""",
-        "cross_erp_duplicate_orders": """
-SELECT DISTINCT a.contract_id, CAST(a.order_date AS VARCHAR) AS order_date
-FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_date = b.order_date
- AND a.source_system <> b.source_system AND abs(a.total - b.total) < 1""",
+        "cross_erp_duplicate_orders": _close_orders(1),
+        "cross_erp_similar_orders": _close_orders(100_000),
         "dq_unique": _checks("unique"),
         "dq_not_null": _checks("not_null"),
         "dq_accepted_values": _checks("accepted_values"),
@@ -331,6 +336,18 @@ ORDER BY ordered_amount DESC, account_manager_id""",
         "card_top_schools": f"""
 SELECT school_id, school_name, {money} AS ordered_amount FROM r_monthly GROUP BY ALL
 ORDER BY ordered_amount DESC, school_id LIMIT 10""",
+        "school_trailing_year": """
+SELECT m.school_id, CAST(m.month AS VARCHAR) AS month, any_value(m.ordered_amount)
+       AS ordered_amount,
+       CAST(sum(CAST(p.ordered_amount AS DECIMAL(18,4)))
+            FILTER (p.month > m.month - INTERVAL 12 MONTH) AS DOUBLE) AS trailing_amount,
+       CAST(sum(p.total_orders) FILTER (p.month > m.month - INTERVAL 12 MONTH) AS BIGINT)
+            AS trailing_orders,
+       CAST(sum(CAST(p.ordered_amount AS DECIMAL(18,4)))
+            FILTER (p.month = m.month - INTERVAL 12 MONTH) AS DOUBLE) AS year_ago_amount
+FROM r_monthly m JOIN r_monthly p ON p.school_id = m.school_id
+ AND p.month BETWEEN m.month - INTERVAL 12 MONTH AND m.month
+GROUP BY m.school_id, m.month""",
         "filtered_trend": f"""
 SELECT CAST(month AS VARCHAR) AS month, {money} AS ordered_amount,
        CAST(sum(active_orders) AS BIGINT) AS active_orders,

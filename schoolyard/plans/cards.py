@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
@@ -97,6 +97,26 @@ def top_schools(monthly: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def trailing_year(monthly: DataFrame) -> DataFrame:
+    """Each school's evolution: the last 12 months up to each month, and a year before.
+
+    Months are counted on the calendar, so a month in which nobody did anything
+    does not stretch the window.  A window holds one row per month of one school.
+    """
+    number = F.year("month") * 12 + F.month("month")
+    school = Window.partitionBy("school_id").orderBy(number)
+    year = school.rangeBetween(-11, 0)
+    amount = exact("ordered_amount")
+    return monthly.select(
+        "school_id",
+        "month",
+        "ordered_amount",
+        F.sum(amount).over(year).cast("double").alias("trailing_amount"),
+        F.sum("total_orders").over(year).alias("trailing_orders"),
+        F.sum(amount).over(school.rangeBetween(-12, -12)).cast("double").alias("year_ago_amount"),
+    )
+
+
 def filter_metrics(
     monthly: DataFrame,
     month_from: dt.date | None = None,

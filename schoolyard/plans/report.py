@@ -175,14 +175,22 @@ def school_month_facts(
     )
 
 
-def active_months(orders: DataFrame, deliveries: DataFrame, tickets: DataFrame) -> DataFrame:
+def active_months(
+    orders: DataFrame, deliveries: DataFrame, tickets: DataFrame, summed: bool = False
+) -> DataFrame:
     """Months with any order, delivery or ticket, linked to a school or not.
 
-    The months do not depend on links, so plain column scans are enough.
+    The months do not depend on links, so plain column scans are enough.  With
+    ``summed`` the deliveries are taken as the report sums them up, and the two then
+    share one scan and shuffle.
     """
+    if summed:
+        dropped = drops_per_order(deliveries).select(F.explode("drops.month").alias("month"))
+    else:
+        dropped = deliveries.select(fn.month_of("delivery_date").alias("month"))
     return month_list(
         orders.select(fn.month_of("order_date").alias("month")),
-        deliveries.select(fn.month_of("delivery_date").alias("month")),
+        dropped,
         tickets.select(fn.month_of("created_at").alias("month")),
     )
 

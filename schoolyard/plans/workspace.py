@@ -143,10 +143,9 @@ class Workspace:
 
     # -- reports
 
-    @cached_property
-    def active_months(self) -> DataFrame:
+    def active_months(self, summed: bool = False) -> DataFrame:
         return report.active_months(
-            self.orders_unified, self.deliveries_unified, self.clean["support_ticket"]
+            self.orders_unified, self.deliveries_unified, self.clean["support_ticket"], summed
         )
 
     def school_month_facts(self, parts: Collection[str] = report.PARTS) -> DataFrame:
@@ -163,7 +162,9 @@ class Workspace:
         if "monthly" in self.stored:
             return self.stored["monthly"]
         return report.monthly_metrics(
-            self.schools, self.school_month_facts(parts), self.active_months
+            self.schools,
+            self.school_month_facts(parts),
+            self.active_months(summed="deliveries" in parts),
         )
 
     @cached_property

@@ -164,7 +164,7 @@ def line_totals(ws: Workspace) -> DataFrame:
 def month_spine(ws: Workspace) -> DataFrame:
     """Every school in every month with any activity."""
     schools = ws.schools.select("school_id")
-    return schools.select("school_id", F.explode(ws.active_months.scalar()).alias("month"))
+    return schools.select("school_id", F.explode(ws.active_months().scalar()).alias("month"))
 
 
 # -- checks ----------------------------------------------------------------
@@ -285,6 +285,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "cross_erp_duplicate_orders": lambda ws: profile.duplicate_orders_across_systems(
         ws.orders, _lines(ws)
     ),
+    "cross_erp_similar_orders": lambda ws: profile.duplicate_orders_across_systems(
+        ws.orders, _lines(ws), tolerance=100_000
+    ),
     "dq_unique": _declared("unique"),
     "dq_not_null": _declared("not_null"),
     "dq_accepted_values": _declared("accepted_values"),
@@ -317,4 +320,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "card_am_ranking": lambda ws: cards.manager_ranking(ws.ytd_portfolio),
     "card_top_schools": lambda ws: cards.top_schools(ws.monthly_metrics(["items"])),
     "filtered_trend": filtered_trend,
+    "school_trailing_year": lambda ws: cards.trailing_year(
+        ws.monthly_metrics(["orders", "items"])
+    ),
 }

@@ -121,10 +121,13 @@ class StarSource:
         return self._built[table]
 
     def _places(self, df: DataFrame, nation_key: str) -> DataFrame:
-        # nation and region are dimension tables of fixed size; Catalyst sees
-        # their file size and broadcasts them under its own threshold.
-        places = self._read("nation").join(
-            self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+        # Grouping by the key shows Catalyst that a nation cannot multiply rows, so
+        # the join goes away wherever city and state are not asked for.
+        places = (
+            self._read("nation")
+            .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .groupBy("n_nationkey")
+            .agg(F.min("n_name").alias("n_name"), F.min("r_name").alias("r_name"))
         )
         return df.join(places, F.col(nation_key) == F.col("n_nationkey"), "left")
 

@@ -43,7 +43,7 @@ def test_entry_runs(spark):
 @needs_data
 def test_monthly_rows_are_schools_times_months(star):
     monthly = star.monthly_metrics()
-    months = star.active_months.select(F.size("months")).first()[0]
+    months = star.active_months().select(F.size("months")).first()[0]
     assert monthly.count() == star.schools.count() * months
     assert monthly.groupBy("school_id", "month").count().filter("count > 1").count() == 0
 
