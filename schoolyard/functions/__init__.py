@@ -1,6 +1,6 @@
 """Column expressions; all of them stay inside the JVM."""
 
-from schoolyard.functions.amounts import exact, exact_sum
+from schoolyard.functions.amounts import exact, exact_sum, exact_total
 from schoolyard.functions.dates import (
     date_or_null,
     days_between,
@@ -19,6 +19,7 @@ __all__ = [
     "elapsed_hours",
     "exact",
     "exact_sum",
+    "exact_total",
     "in_year",
     "map_status",
     "month_of",

@@ -7,17 +7,32 @@ therefore added as fixed-point numbers and returned as doubles at the end.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 18 digits keep the input in a long; sum() widens its own buffer to 28 and 38.
 MONEY = "decimal(18,4)"
+TOTAL = "decimal(28,4)"
 
 
 def exact(c: Column | str) -> Column:
-    """Fixed-point form of a double, for sums taken in several steps."""
+    """Fixed-point form of a double, for sums over few rows."""
     return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
 
 
+def exact_total(c: Column | str) -> Column:
+    """Sum of a double to four decimals, as fixed point.
+
+    Whole units and ten-thousandths are added up in a long each, which costs no
+    more than adding doubles; converting every row to a decimal would.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    units = F.floor(c)
+    rest = F.floor((c - units) * 10_000 + 0.5)
+    whole = F.sum(units).cast("decimal(20,0)")
+    return (whole + F.sum(rest).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(TOTAL)
+
+
 def exact_sum(c: Column | str) -> Column:
-    return F.sum(exact(c)).cast("double")
+    return exact_total(c).cast("double")

@@ -327,19 +327,44 @@ def order_items(unified: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
+def order_lines(item_a: DataFrame, item_b: DataFrame) -> dict[str, DataFrame]:
+    """Amounts of each ERP's lines by its own order number, for summing up."""
+    columns = ["line_total", "quantity"]
+    return {
+        "erp_a": item_a.select(F.col("doc_entry").alias("order_key"), *columns),
+        "erp_b": item_b.select(F.col("pedido_id").alias("order_key"), *columns),
+    }
+
+
 # -- delivery --------------------------------------------------------------
 
 
+def _delivery_facts_erp_a() -> list[Column]:
+    return [
+        F.col("delivery_date"),
+        F.col("status"),
+        F.col("is_cancelled"),
+        _null("bigint").alias("quantity_delivered"),
+        _null("string").alias("delivery_status_normalized"),
+    ]
+
+
+def _delivery_facts_fin() -> list[Column]:
+    return [
+        F.coalesce("actual_delivery_date", "emissao_date").alias("delivery_date"),
+        F.col("delivery_status").alias("status"),
+        F.col("delivery_status").isin(*st.FIN_CANCELLED).alias("is_cancelled"),
+        F.col("quantity_delivered"),
+        F.col("delivery_status_normalized"),
+    ]
+
+
 def delivery_from_erp_a(delivery: DataFrame) -> DataFrame:
     return delivery.select(
         _id("doc_entry").alias("source_delivery_id"),
         _id("base_order_entry").alias("source_order_id"),
         F.col("customer_code").alias("source_customer_id"),
-        "delivery_date",
-        "status",
-        "is_cancelled",
-        _null("bigint").alias("quantity_delivered"),
-        _null("string").alias("delivery_status_normalized"),
+        *_delivery_facts_erp_a(),
     )
 
 
@@ -348,11 +373,7 @@ def delivery_from_fin(note: DataFrame) -> DataFrame:
         _id("nota_fiscal_id").alias("source_delivery_id"),
         _id("pedido_id").alias("source_order_id"),
         F.col("cnpj_cliente").alias("source_customer_id"),
-        F.coalesce("actual_delivery_date", "emissao_date").alias("delivery_date"),
-        F.col("delivery_status").alias("status"),
-        F.col("delivery_status").isin(*st.FIN_CANCELLED).alias("is_cancelled"),
-        "quantity_delivered",
-        "delivery_status_normalized",
+        *_delivery_facts_fin(),
     )
 
 
@@ -362,6 +383,23 @@ def deliveries_unified(delivery: DataFrame, note: DataFrame) -> DataFrame:
     return both.filter(fn.valid_year("delivery_date"))
 
 
+def order_drops(delivery: DataFrame, note: DataFrame) -> dict[str, DataFrame]:
+    """Plausibly dated deliveries of each ERP's orders by its own order number."""
+    by_system = {
+        "erp_a": delivery.select(
+            F.col("base_order_entry").alias("order_key"),
+            F.col("doc_entry").alias("delivery_key"),
+            *_delivery_facts_erp_a(),
+        ),
+        "erp_b": note.select(
+            F.col("pedido_id").alias("order_key"),
+            F.col("nota_fiscal_id").alias("delivery_key"),
+            *_delivery_facts_fin(),
+        ),
+    }
+    return {s: df.filter(fn.valid_year("delivery_date")) for s, df in by_system.items()}
+
+
 def order_system_of_delivery() -> Column:
     """Finance notes belong to ERP B orders."""
     return F.when(F.col("source_system") == "erp_a", "erp_a").when(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
 from schoolyard.functions.dates import FIRST_YEAR, LAST_YEAR
-from schoolyard.plans.report import with_activity
+from schoolyard.plans.report import BySystem, activity_per_order, lines_per_order, with_activity
 
 
 def _share(part: str, whole: str) -> Column:
@@ -48,7 +48,7 @@ def match_rate(left: DataFrame, key: str, others: Mapping[str, DataFrame]) -> Da
 def contract_overlap(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Contract numbers with orders in both ERPs: counts and amounts per system.
 
-    ``lines`` holds one amount per order (``amount``, fixed point).
+    ``lines`` holds one amount per order.
     """
     a, b = F.col("source_system") == "erp_a", F.col("source_system") == "erp_b"
     numbered = orders.filter(F.col("contract_number").isNotNull()).select(
@@ -107,15 +107,17 @@ def delivery_status_map(note: DataFrame) -> DataFrame:
     )
 
 
-def delivery_coverage(orders: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """Share of the non-cancelled orders with at least one delivery, per ERP.
-
-    ``deliveries`` carry the order's system and id.
-    """
-    key = ["source_system", "source_order_id"]
-    delivered = deliveries.groupBy(*key).agg(F.count(F.lit(1)).alias("drops"))
+def delivery_coverage(orders: DataFrame, drops: BySystem) -> DataFrame:
+    """Share of the non-cancelled orders with at least one delivery, per ERP."""
+    delivered = activity_per_order(
+        {
+            system: [df.groupBy("order_key").agg(F.count(F.lit(1)).alias("drops"))]
+            for system, df in drops.items()
+        }
+    )
+    live = orders.filter(~F.col("is_cancelled")).select("source_system", "source_order_id")
     return (
-        with_activity(orders.filter(~F.col("is_cancelled")).select(*key), delivered)
+        with_activity(live, delivered)
         .groupBy("source_system")
         .agg(F.count(F.lit(1)).alias("n_orders"), F.count("drops").alias("n_delivered"))
         .withColumn("coverage", _share("n_delivered", "n_orders"))
@@ -205,7 +207,7 @@ def duplicate_orders_across_systems(
 
 
 def delivered_sales(
-    schools: DataFrame, orders: DataFrame, lines: DataFrame, deliveries: DataFrame
+    schools: DataFrame, orders: DataFrame, lines: BySystem, drops: BySystem
 ) -> DataFrame:
     """Confirmed sales per school and month of the last 12 months of data.
 
@@ -219,18 +221,20 @@ def delivered_sales(
         ~F.col("is_cancelled") & F.col("school_id").isNotNull() & (F.col("order_date") >= since)
     )
     status = F.coalesce("delivery_status_normalized", "status")
-    drops = (
-        deliveries.filter(status == "delivered")
-        .groupBy(*key, "source_delivery_id")
-        .agg(F.count(F.lit(1)))
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("drops"))
-    )
-    with_lines = lines.withColumn("has_lines", F.lit(True))
+    facts = {
+        system: [
+            lines_per_order(lines[system]).withColumn("has_lines", F.lit(True)),
+            df.filter(status == "delivered")
+            .groupBy("order_key", "delivery_key")
+            .agg(F.count(F.lit(1)))
+            .groupBy("order_key")
+            .agg(F.count(F.lit(1)).alias("drops")),
+        ]
+        for system, df in drops.items()
+    }
     per_order = with_activity(
         confirmed.select(*key, "school_id", fn.month_of("order_date").alias("year_month")),
-        with_lines,
-        drops,
+        activity_per_order(facts),
     ).filter("has_lines")
     names = schools.select("school_id", F.col("name").alias("school_name"))
     return (

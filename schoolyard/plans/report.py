@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
 from schoolyard.operators import Lookup, dense_months, link, month_list
-from schoolyard.plans.curated import order_system_of_delivery
 
 ORDER_KEY = ["source_system", "source_order_id"]
 
+# Facts of each ERP's orders, keyed by that ERP's own order number (``order_key``).
+BySystem = Mapping[str, DataFrame]
+
 # The facts a school-month row is made of.  A query that needs only some of them
 # names them, and the others are neither read nor shuffled.
 PARTS = ("orders", "items", "deliveries", "tickets")
@@ -42,43 +44,73 @@ def _entry(month: Column, **values: Column) -> Column:
     return F.struct(month.alias("month"), *measures)
 
 
-def lines_per_order(items: DataFrame) -> DataFrame:
+def lines_per_order(lines: DataFrame) -> DataFrame:
     """Line totals summed to order grain before anything is joined to them."""
-    return items.groupBy(*ORDER_KEY).agg(
-        F.sum(fn.exact("line_total")).alias("amount"), F.sum(fn.exact("quantity")).alias("quantity")
+    return lines.groupBy("order_key").agg(
+        fn.exact_total("line_total").alias("amount"),
+        fn.exact_total("quantity").alias("quantity"),
     )
 
 
-def drops_per_order(deliveries: DataFrame) -> DataFrame:
+def drops_per_order(drops: DataFrame) -> DataFrame:
     """Deliveries of each order by month: a list with at most one entry per month."""
-    monthly = (
-        deliveries.withColumn("source_system", order_system_of_delivery())
-        .groupBy(*ORDER_KEY, fn.month_of("delivery_date").alias("month"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(~F.col("is_cancelled")).alias("ok"),
-            F.sum("quantity_delivered").alias("quantity"),
-        )
+    monthly = drops.groupBy("order_key", fn.month_of("delivery_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("is_cancelled")).alias("ok"),
+        F.sum("quantity_delivered").alias("quantity"),
     )
-    return monthly.groupBy(*ORDER_KEY).agg(
+    return monthly.groupBy("order_key").agg(
         F.collect_list(F.struct("month", "n", "ok", "quantity")).alias("drops")
     )
 
 
-def with_activity(orders: DataFrame, *activity: DataFrame) -> DataFrame:
-    """Orders with what was summed up per order; nothing found means NULLs.
+def tickets_per_order(tickets: DataFrame) -> DataFrame:
+    """Tickets and their resolution hours by the order they name."""
+    hours = fn.elapsed_hours("created_at", "solved_at")
+    number = F.col("order_ref").try_cast("bigint")
+    # the reference is text; it names an order if it is that order's id as text
+    named = tickets.withColumn(
+        "order_key", F.when(number.cast("string") == F.col("order_ref"), number)
+    )
+    return (
+        named.filter(F.col("order_key").isNotNull())
+        .groupBy("order_key")
+        .agg(
+            F.count(F.lit(1)).alias("tickets"),
+            F.sum(hours).alias("hours"),
+            F.count(hours).alias("solved"),
+        )
+    )
+
+
+def activity_per_order(facts: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
+    """What was summed up per order, by system, as one row per order.
 
-    The activity frames are all grouped by the order key, so they combine without
-    moving and the orders are shuffled once for all of them.
+    The frames of a system are grouped by its own order key, a number, so they
+    combine without moving; ids become text only here, once per order.
     """
-    combined = reduce(lambda a, b: a.join(b, ORDER_KEY, "full"), activity)
+    systems = []
+    for system, frames in facts.items():
+        combined = reduce(lambda a, b: a.join(b, "order_key", "full"), frames)
+        systems.append(
+            combined.select(
+                F.lit(system).alias("source_system"),
+                F.col("order_key").cast("string").alias("source_order_id"),
+                *[c for c in combined.columns if c != "order_key"],
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), systems)
+
+
+def with_activity(orders: DataFrame, activity: DataFrame) -> DataFrame:
+    """Orders with their activity; nothing found means NULLs."""
     key = fn.scoped(*ORDER_KEY)
-    wanted = {c: c for c in combined.columns if c not in ORDER_KEY}
-    return link(orders, Lookup(key, combined, key, wanted, unique=True))
+    wanted = {c: c for c in activity.columns if c not in ORDER_KEY}
+    return link(orders, Lookup(key, activity, key, wanted, unique=True))
 
 
 def _order_facts(
-    orders: DataFrame, items: DataFrame, deliveries: DataFrame, parts: Collection[str]
+    orders: DataFrame, lines: BySystem, drops: BySystem, parts: Collection[str]
 ) -> DataFrame:
     """School-month contributions of orders, their lines and their deliveries.
 
@@ -89,7 +121,7 @@ def _order_facts(
     joined = orders.select(*ORDER_KEY, "school_id", "order_date", "is_cancelled").filter(
         F.col("school_id").isNotNull()
     )
-    activity: list[DataFrame] = []
+    facts: dict[str, list[DataFrame]] = {system: [] for system in lines}
     month = fn.month_of("order_date")
     placed: dict[str, Column] = {}
     if "orders" in parts:
@@ -99,7 +131,8 @@ def _order_facts(
             "cancelled_orders": F.col("is_cancelled").cast("bigint"),
         }
     if "items" in parts:
-        activity.append(lines_per_order(items))
+        for system, df in lines.items():
+            facts[system].append(lines_per_order(df))
         placed |= {
             "ordered_amount": F.col("amount"),
             "confirmed_amount": F.when(~F.col("is_cancelled"), F.col("amount")),
@@ -107,7 +140,8 @@ def _order_facts(
         }
     entries = F.when(F.col("order_date").isNotNull(), F.array(_entry(month, **placed)))
     if "deliveries" in parts:
-        activity.append(drops_per_order(deliveries))
+        for system, df in drops.items():
+            facts[system].append(drops_per_order(df))
         delivered = F.transform(
             "drops",
             lambda d: _entry(
@@ -119,8 +153,8 @@ def _order_facts(
         )
         none = F.array().cast(f"array<{_entry_type()}>")
         entries = F.concat(F.coalesce(entries, none), F.coalesce(delivered, none))
-    if activity:
-        joined = with_activity(joined, *activity)
+    if any(facts.values()):
+        joined = with_activity(joined, activity_per_order(facts))
     return joined.select("school_id", F.inline(entries))
 
 
@@ -157,8 +191,8 @@ def _ticket_facts(tickets: DataFrame, org_schools: DataFrame) -> DataFrame:
 
 def school_month_facts(
     orders: DataFrame,
-    items: DataFrame,
-    deliveries: DataFrame,
+    lines: BySystem,
+    drops: BySystem,
     tickets: DataFrame,
     org_schools: DataFrame,
     parts: Collection[str] = PARTS,
@@ -166,7 +200,7 @@ def school_month_facts(
     """Sparse facts: one row per school and month in which something happened."""
     stacked = []
     if set(parts) & {"orders", "items", "deliveries"}:
-        stacked.append(_order_facts(orders, items, deliveries, parts))
+        stacked.append(_order_facts(orders, lines, drops, parts))
     if "tickets" in parts:
         stacked.append(_ticket_facts(tickets, org_schools))
     facts = reduce(DataFrame.unionByName, stacked)
@@ -176,7 +210,7 @@ def school_month_facts(
 
 
 def active_months(
-    orders: DataFrame, deliveries: DataFrame, tickets: DataFrame, summed: bool = False
+    orders: DataFrame, drops: BySystem, tickets: DataFrame, summed: bool = False
 ) -> DataFrame:
     """Months with any order, delivery or ticket, linked to a school or not.
 
@@ -185,12 +219,17 @@ def active_months(
     share one scan and shuffle.
     """
     if summed:
-        dropped = drops_per_order(deliveries).select(F.explode("drops.month").alias("month"))
+        dropped = [
+            drops_per_order(df).select(F.explode("drops.month").alias("month"))
+            for df in drops.values()
+        ]
     else:
-        dropped = deliveries.select(fn.month_of("delivery_date").alias("month"))
+        dropped = [
+            df.select(fn.month_of("delivery_date").alias("month")) for df in drops.values()
+        ]
     return month_list(
         orders.select(fn.month_of("order_date").alias("month")),
-        dropped,
+        *dropped,
         tickets.select(fn.month_of("created_at").alias("month")),
     )
 
@@ -250,7 +289,7 @@ def ytd_portfolio(
     managers: DataFrame,
     contracts: DataFrame,
     orders: DataFrame,
-    items: DataFrame,
+    lines: BySystem,
     tickets: DataFrame,
     year: DataFrame,
 ) -> DataFrame:
@@ -265,29 +304,22 @@ def ytd_portfolio(
     signed = (
         contracts.filter(~F.col("is_cancelled") & fn.in_year("start_date", ref))
         .groupBy("account_manager_id", "contract_id")
-        .agg(F.sum(fn.exact("grand_total")).alias("total"))
+        .agg(fn.exact_total("grand_total").alias("total"))
         .groupBy("account_manager_id")
         .agg(
             F.count("contract_id").alias("total_contracts"),
             F.sum("total").cast("double").alias("total_contracted_amount"),
         )
     )
-    hours = fn.elapsed_hours("created_at", "solved_at")
-    asked = (
-        tickets.filter(F.col("order_ref").isNotNull() & fn.in_year("created_at", ref))
-        .groupBy(F.lit("erp_b").alias("source_system"), F.col("order_ref").alias("source_order_id"))
-        .agg(
-            F.count(F.lit(1)).alias("tickets"),
-            F.sum(hours).alias("hours"),
-            F.count(hours).alias("solved"),
-        )
-    )
+    asked = tickets_per_order(tickets.filter(fn.in_year("created_at", ref)))
+    facts = {system: [lines_per_order(df)] for system, df in lines.items()}
+    facts["erp_b"].append(asked)
     sold = ~F.col("is_cancelled") & fn.in_year("order_date", ref)
     per_order = (
         orders.filter(F.col("account_manager_id").isNotNull())
         .select(*ORDER_KEY, "account_manager_id", "school_id", sold.alias("sold"))
     )
-    per_order = with_activity(per_order, lines_per_order(items), asked)
+    per_order = with_activity(per_order, activity_per_order(facts))
     per_school = per_order.groupBy("account_manager_id", "school_id").agg(
         F.count_if("sold").alias("orders"),
         F.sum(F.when(F.col("sold"), F.col("amount"))).alias("amount"),

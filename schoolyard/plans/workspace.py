@@ -145,14 +145,33 @@ class Workspace:
 
     def active_months(self, summed: bool = False) -> DataFrame:
         return report.active_months(
-            self.orders_unified, self.deliveries_unified, self.clean["support_ticket"], summed
+            self.orders_unified, self.order_drops, self.clean["support_ticket"], summed
+        )
+
+    @cached_property
+    def order_lines(self) -> dict[str, DataFrame]:
+        """Lines of each ERP under that ERP's own order number."""
+        return curated.order_lines(
+            self.clean["erp_a_sales_order_item"], self.clean["erp_b_item_pedido"]
+        )
+
+    @cached_property
+    def order_drops(self) -> dict[str, DataFrame]:
+        """Deliveries of each ERP's orders under that ERP's own order number."""
+        return curated.order_drops(self.clean["erp_a_delivery"], self.clean["fin_nota_fiscal"])
+
+    @cached_property
+    def line_activity(self) -> DataFrame:
+        """Amount and quantity of every order that has lines."""
+        return report.activity_per_order(
+            {system: [report.lines_per_order(df)] for system, df in self.order_lines.items()}
         )
 
     def school_month_facts(self, parts: Collection[str] = report.PARTS) -> DataFrame:
         return report.school_month_facts(
             self.orders,
-            self.order_items_unified,
-            self.deliveries_unified,
+            self.order_lines,
+            self.order_drops,
             self.clean["support_ticket"],
             self.organization_schools,
             parts,
@@ -179,7 +198,7 @@ class Workspace:
                 self.account_managers,
                 self.contracts,
                 self.orders,
-                self.order_items_unified,
+                self.order_lines,
                 self.clean["support_ticket"],
                 self.reference_year,
             ),

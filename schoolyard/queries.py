@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from schoolyard import functions as fn
 from schoolyard.operators import dense_months, joined_tags, run_checks
-from schoolyard.plans import cards, curated, declared, profile, report
+from schoolyard.plans import cards, declared, profile
 from schoolyard.plans.clean import CLEAN
 from schoolyard.plans.workspace import Workspace
 from schoolyard.sources.raw import RAW_TABLES, row_counts
@@ -190,14 +190,6 @@ def row_count_reconciliation(ws: Workspace) -> DataFrame:
 # -- profiles --------------------------------------------------------------
 
 
-def _order_deliveries(ws: Workspace) -> DataFrame:
-    return ws.deliveries_unified.withColumn("source_system", curated.order_system_of_delivery())
-
-
-def _lines(ws: Workspace) -> DataFrame:
-    return report.lines_per_order(ws.order_items_unified)
-
-
 def key_match_rate(ws: Workspace) -> DataFrame:
     return profile.match_rate(
         ws.clean["crm_account"],
@@ -277,16 +269,16 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "monthly_school_metrics": lambda ws: ws.monthly_metrics(),
     "ytd_am_portfolio": lambda ws: ws.ytd_portfolio,
     "rfc_school_month_sales": lambda ws: profile.delivered_sales(
-        ws.schools, ws.orders, _lines(ws), _order_deliveries(ws)
+        ws.schools, ws.orders, ws.order_lines, ws.order_drops
     ),
     "rfc_am_ytd_sales": lambda ws: profile.manager_sales(
-        ws.account_managers, ws.contracts, ws.orders, _lines(ws), ws.reference_year
+        ws.account_managers, ws.contracts, ws.orders, ws.line_activity, ws.reference_year
     ),
     "cross_erp_duplicate_orders": lambda ws: profile.duplicate_orders_across_systems(
-        ws.orders, _lines(ws)
+        ws.orders, ws.line_activity
     ),
     "cross_erp_similar_orders": lambda ws: profile.duplicate_orders_across_systems(
-        ws.orders, _lines(ws), tolerance=100_000
+        ws.orders, ws.line_activity, tolerance=100_000
     ),
     "dq_unique": _declared("unique"),
     "dq_not_null": _declared("not_null"),
@@ -296,10 +288,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "row_count_reconciliation": row_count_reconciliation,
     "key_match_rate": key_match_rate,
     "contract_match_rate": contract_match_rate,
-    "contract_overlap": lambda ws: profile.contract_overlap(ws.orders_unified, _lines(ws)),
-    "delivery_coverage": lambda ws: profile.delivery_coverage(
-        ws.orders_unified, _order_deliveries(ws)
-    ),
+    "contract_overlap": lambda ws: profile.contract_overlap(ws.orders_unified, ws.line_activity),
+    "delivery_coverage": lambda ws: profile.delivery_coverage(ws.orders_unified, ws.order_drops),
     "contracts_by_profile": lambda ws: profile.contracts_by_profile(
         ws.clean["crm_service_contract"], ws.clean["crm_user"]
     ),
