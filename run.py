@@ -11,7 +11,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from schoolyard.plans import pipeline
-from schoolyard.session import NO_CALL_SITES, prepare
+from schoolyard.session import STARTUP, prepare
 from schoolyard.sources.raw import read_csv_all
 from schoolyard.sources.star import StarSource
 from schoolyard.sources.tables import Store
@@ -19,7 +19,7 @@ from schoolyard.sources.tables import Store
 
 def main() -> None:
     kind, source, target = sys.argv[1:4]
-    spark = prepare(SparkSession.builder.appName("schoolyard").config(*NO_CALL_SITES).getOrCreate())
+    spark = prepare(SparkSession.builder.appName("schoolyard").config(map=STARTUP).getOrCreate())
     raw = read_csv_all(spark, source) if kind == "csv" else StarSource(spark, source)
     pipeline.run(raw, Store(spark, target))
 

@@ -8,8 +8,13 @@ from pyspark.sql import SparkSession
 
 PARTITIONS_PER_CORE = 8
 
-# Recording the Python call site of every column expression slows plan building.
-NO_CALL_SITES = ("spark.python.sql.dataFrameDebugging.enabled", "false")
+# Options that only count when a session starts.
+STARTUP = {
+    # recording the Python call site of every column expression slows plan building
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # the report alone compiles some 250 classes; the usual 100 are evicted in between
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -42,7 +47,7 @@ def local_session(app: str = "schoolyard", cores: str | None = None) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config(*NO_CALL_SITES)
+        .config(map=STARTUP)
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .getOrCreate()
