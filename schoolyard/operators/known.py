@@ -1,0 +1,58 @@
+"""Is a key known?  Answered without shuffling the rows that ask."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from schoolyard.operators.link import Lookup, link
+
+# Up to this many unknown keys are broadcast: some 20 MB of short text.
+FEW = 200_000
+
+
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The shared folder the cluster names; a temporary one in local mode only."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="schoolyard-")
+        if folder is None:
+            return None
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def value_if_known(
+    child: DataFrame, key: Column, known: DataFrame, known_key: Column, value: Column, out: str
+) -> DataFrame:
+    """Add ``value`` where the key occurs among the known keys, NULL elsewhere.
+
+    The value depends on the row alone, so only the existence of the key has to be
+    looked up.  For a large fact whose rows nearly all have a parent, it is far
+    cheaper to find the few keys that have none: the distinct keys of the fact are
+    compared with the known ones, and only those narrow keys are shuffled.  The
+    unknown keys are counted once they are written; if they are few they are
+    broadcast and the wide rows stay where they are, hot keys or not.  If they are
+    many, or there is no shared folder to write them to, the rows are linked by
+    shuffling.
+    """
+    if checkpoint_folder(child.sparkSession) is not None:
+        unknown = (
+            child.select(key.alias("_key"))
+            .filter(F.col("_key").isNotNull())
+            .distinct()
+            .join(known.select(known_key.alias("_key")), "_key", "left_anti")
+            .checkpoint()
+        )
+        if unknown.limit(FEW + 1).count() <= FEW:
+            marked = unknown.select(F.col("_key").alias("_unknown"))
+            joined = child.join(F.broadcast(marked), key == F.col("_unknown"), "left")
+            found = key.isNotNull() & F.col("_unknown").isNull()
+            return joined.withColumn(out, F.when(found, value)).drop("_unknown")
+    hits = known.select(known_key.alias("_key"), F.lit(True).alias("_hit"))
+    linked = link(child, Lookup(key, hits, F.col("_key"), {"_hit": "_hit"}))
+    return linked.withColumn(out, F.when(F.col("_hit"), value)).drop("_hit")

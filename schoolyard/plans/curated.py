@@ -20,6 +20,7 @@ from schoolyard.operators import (
     joined_tags,
     link,
     resolve_entity,
+    value_if_known,
 )
 
 # Sources of a school in order of precedence, and their id columns.
@@ -265,12 +266,15 @@ def order_keys(unified: DataFrame) -> DataFrame:
     )
 
 
-def _order_lookup(system: Column, keys: DataFrame) -> Lookup:
-    return Lookup(
+def _with_order_id(df: DataFrame, system: Column, keys: DataFrame) -> DataFrame:
+    """The order's surrogate key, which follows from its source key, if it exists."""
+    return value_if_known(
+        df,
         fn.scoped(system, "source_order_id"),
         keys,
         fn.scoped("source_system", "source_order_id"),
-        {"order_id": "order_id"},
+        fn.surrogate_key(system, "source_order_id"),
+        "order_id",
     )
 
 
@@ -310,7 +314,7 @@ def order_items_unified(item_a: DataFrame, item_b: DataFrame) -> DataFrame:
 
 
 def order_items(unified: DataFrame, keys: DataFrame) -> DataFrame:
-    return link(unified, _order_lookup(F.col("source_system"), keys)).select(
+    return _with_order_id(unified, F.col("source_system"), keys).select(
         fn.surrogate_key("source_system", "source_order_id", "source_line_id").alias(
             "order_item_id"
         ),
@@ -408,7 +412,7 @@ def order_system_of_delivery() -> Column:
 
 
 def deliveries(unified: DataFrame, keys: DataFrame) -> DataFrame:
-    return link(unified, _order_lookup(order_system_of_delivery(), keys)).select(
+    return _with_order_id(unified, order_system_of_delivery(), keys).select(
         fn.surrogate_key("source_system", "source_delivery_id").alias("delivery_id"),
         "source_delivery_id",
         "source_order_id",

@@ -232,3 +232,42 @@ def test_checks_count_planted_faults(spark):
         ("status", "accepted_values"): 2,
         ("parent", "relationships"): 3,
     }
+
+
+def _known(spark, monkeypatch, few, folder=True):
+    from schoolyard.operators import known as module
+
+    monkeypatch.setattr(module, "FEW", few)
+    if not folder:
+        monkeypatch.setattr(module, "checkpoint_folder", lambda spark: None)
+    child = spark.createDataFrame(
+        [(1, "a"), (2, "a"), (3, "x"), (4, None), (5, "y"), (6, "b")], "id bigint, k string"
+    )
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "pk string")
+    got = module.value_if_known(
+        child, F.col("k"), parent, F.col("pk"), F.concat(F.lit("id-"), F.col("k")), "found"
+    )
+    assert {(r.id, r.found) for r in got.collect()} == {
+        (1, "id-a"),
+        (2, "id-a"),
+        (3, None),
+        (4, None),
+        (5, None),
+        (6, "id-b"),
+    }
+    assert got.columns == ["id", "k", "found"]
+    return got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_value_if_known_keeps_rows_in_place_when_few_keys_are_unknown(spark, monkeypatch):
+    plan = _known(spark, monkeypatch, few=10)
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in plan
+
+
+def test_value_if_known_shuffles_when_many_keys_are_unknown(spark, monkeypatch):
+    assert "hashpartitioning" in _known(spark, monkeypatch, few=1)
+
+
+def test_value_if_known_without_a_shared_folder(spark, monkeypatch):
+    assert "hashpartitioning" in _known(spark, monkeypatch, few=10, folder=False)
