@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from compare import difference, oracle_connection
 from schoolyard.plans import profile, report
+from schoolyard.queries import QUERIES
 
 needs_data = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test data")
 
@@ -24,13 +25,13 @@ def oracle():
 
 
 @needs_data
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, oracle, name):
     assert difference(spark, oracle, name, TESTDATA) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @needs_data
