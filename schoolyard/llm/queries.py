@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from schoolyard.llm.common import table
 from schoolyard.llm.packing import pack
+from schoolyard.llm.simhash import near_duplicates
 from schoolyard.llm.tokens import token_counts
 
 
@@ -14,6 +15,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
 
@@ -23,6 +29,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op8_packing": op8_packing,
 }
