@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from schoolyard.llm.common import table
+from schoolyard.llm.mixing import copies
 from schoolyard.llm.packing import pack
 from schoolyard.llm.simhash import near_duplicates
 from schoolyard.llm.tokens import token_counts
@@ -20,6 +22,12 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = copies(table(spark, sf_dir, "documents"))
+    words = (F.col("copies") * F.col("size")).cast("long")
+    return taken.select("doc_id", "size", "source_size", "target", words.alias("taken"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=512)
 
@@ -30,6 +38,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_mix_sources": op4_mix_sources,
     "op6_token_counts": op6_token_counts,
     "op8_packing": op8_packing,
 }
