@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from schoolyard.llm.common import table
 from schoolyard.llm.mixing import copies
 from schoolyard.llm.packing import pack
+from schoolyard.llm.quality import judged
 from schoolyard.llm.simhash import near_duplicates
 from schoolyard.llm.tokens import token_counts
 
@@ -17,6 +18,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -37,6 +42,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_token_counts": op6_token_counts,
