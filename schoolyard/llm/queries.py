@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schoolyard.llm.common import table
+from schoolyard.llm.language import identify, learn
 from schoolyard.llm.mixing import copies
 from schoolyard.llm.packing import pack
 from schoolyard.llm.quality import judged
@@ -41,12 +42,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=1024)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return identify(docs, learn(docs)).withColumn("held_out", held_out)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_token_counts": op6_token_counts,
     "op8_packing": op8_packing,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB statements, where SQL can express the operator.
