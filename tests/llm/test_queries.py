@@ -1,0 +1,19 @@
+"""The corpus queries against their SQL."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import TESTDATA
+
+from compare import difference, oracle_connection
+from schoolyard.llm.queries import ORACLES
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(TESTDATA)
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_oracle(spark, oracle, name):
+    assert difference(spark, oracle, name, TESTDATA) is None
