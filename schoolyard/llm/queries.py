@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from schoolyard.llm.chat import events_of, format_chats, read_back
 from schoolyard.llm.common import table
 from schoolyard.llm.language import identify, learn
+from schoolyard.llm.linetree import drop_recurring_lines
 from schoolyard.llm.mixing import copies
 from schoolyard.llm.oracles import ORACLES
 from schoolyard.llm.packing import pack
@@ -28,6 +29,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned, cut = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col(cut).alias("lines_cut"), "text")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -69,6 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_chat_format": op5_chat_format,
