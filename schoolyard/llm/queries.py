@@ -13,6 +13,7 @@ from schoolyard.llm.linetree import drop_recurring_lines
 from schoolyard.llm.mixing import copies
 from schoolyard.llm.oracles import ORACLES
 from schoolyard.llm.packing import pack
+from schoolyard.llm.passages import repeated_passages
 from schoolyard.llm.quality import judged
 from schoolyard.llm.simhash import near_duplicates
 from schoolyard.llm.tokens import token_counts
@@ -67,6 +68,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=1024)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -82,5 +87,6 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_topk_search": op7_topk_search,
     "op8_packing": op8_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
