@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Words are runs of characters other than the six ASCII white-space characters.
 SPACES = " \t\n\x0b\x0c\r"
@@ -15,32 +15,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared checkpoint folder; a lost executor costs no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's `spark.checkpoint.dir`, which all executors share.
 
-    The folder is the session's `spark.checkpoint.dir`. Only where none is set (tests, a
-    laptop) a temporary folder is taken, which local mode shares with itself.
+    Only where none is set (tests, a laptop) a temporary folder is taken, which local mode
+    shares with itself.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="schoolyard-checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The frame, written to the shared folder; a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder as Parquet and read back."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """`wanted`, lengthened until no column of the frame has that name in any case."""
     taken = {c.lower() for c in df.columns}
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
-
-
-def row_keys(df: DataFrame, *columns: str) -> list[Column]:
-    """Key of a row of documents that also tells apart rows which share an id.
-
-    Rows with equal keys have equal ids and, but for a 64-bit collision within one id, equal
-    texts; what an operator decides from a text holds for all of them.
-    """
-    return [F.col(columns[0]), F.xxhash64(*columns[1:])]

@@ -11,16 +11,18 @@ is rejected if even that is worse than what its language showed in texts kept fo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from schoolyard.llm.common import free_name
+
 #: Characters of the longest sequences.
 ORDER = 4
 DISCOUNT = 0.75
@@ -129,6 +131,8 @@ class Models:
     def _find(self, length: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of hashes in the array of a length, and whether they are there."""
         table = self.hashes[length - 1]
+        if not len(table):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
         at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
         return at, table[at] == wanted
 
@@ -136,7 +140,7 @@ class Models:
         """Mean negative log-probability per language, and the number of characters behind it."""
         codes = letters(text)
         n = len(codes) - 1
-        if n < 1:
+        if n < 1 or not self.languages:
             return np.zeros(len(self.languages)), 0
         total = np.zeros(len(self.languages))
         for start in range(0, n, BLOCK):
@@ -186,11 +190,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimate(counts: pd.DataFrame) -> Models:
     """Interpolated Kneser-Ney models from (lang, len, seq, history, ending, n)."""
     languages = sorted(counts["lang"].unique().tolist())
-    hashes = [np.unique(g.to_numpy().view(np.uint64)) for _, g in counts.groupby("len")["seq"]]
+    by_length = [counts.loc[counts["len"] == k, "seq"] for k in range(1, ORDER + 1)]
+    hashes = [np.unique(seqs.to_numpy(np.int64).view(np.uint64)) for seqs in by_length]
     probs = [np.zeros((len(h), len(languages))) for h in hashes]
     weight = [np.ones((len(h), len(languages))) for h in hashes]  # of the lower order, per history
     known = [np.zeros((len(h), len(languages)), bool) for h in hashes]
-    alphabet = max(1, len(hashes[0]) if hashes else 1) + 1
+    alphabet = len(hashes[0]) + 1
     for j, lang in enumerate(languages):
         mine = {k: g for k, g in counts[counts["lang"] == lang].groupby("len")}
         lower = np.full(len(hashes[0]), 1.0 / alphabet)
@@ -322,6 +327,23 @@ def learn(
     return models
 
 
+PREDICTION = "lang_pred string, score double, accepted boolean, cross_entropy double"
+
+
+def predictor(spark: SparkSession, models: Models) -> Callable[[Column], Column]:
+    """A function of a text column that gives PREDICTION as a struct. Models are bounded by the
+    sample they were learned from and are sent to each executor once."""
+    shared = spark.sparkContext.broadcast(models)
+
+    @F.pandas_udf(PREDICTION)
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        known = shared.value
+        rows = [known.predict(t) for t in texts]
+        return pd.DataFrame(rows, columns=["lang_pred", "score", "accepted", "cross_entropy"])
+
+    return predict
+
+
 def identify(
     docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -333,24 +355,13 @@ def identify(
     Ties go to the language that comes first by code point. Nothing but the text is looked at,
     all of it, in blocks; rows are not moved. Repeated rows and null ids give a row each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    predict = predictor(docs.sparkSession, models)
+    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), predict(F.col(text_col)).alias("found"))
+    return found.select("doc_id", "found.*")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            found = [known.predict(t.as_py()) for t in batch.column(1)]
-            columns = list(zip(*found, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(columns[0], pa.string()),
-                    pa.array(columns[1], pa.float64()),
-                    pa.array(columns[2], pa.bool_()),
-                    pa.array(columns[3], pa.float64()),
-                ],
-                names=["doc_id", "lang_pred", "score", "accepted", "cross_entropy"],
-            )
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, lang_pred string, score double, accepted boolean, cross_entropy double"
-    return plain.mapInArrow(run, schema)
+def accepted(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is accepted."""
+    predict = predictor(docs.sparkSession, models)
+    found = free_name(docs, "found")
+    return docs.withColumn(found, predict(F.col(text_col))).filter(F.col(found)["accepted"]).select(*docs.columns)

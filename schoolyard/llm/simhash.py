@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schoolyard.llm.common import durable
+from schoolyard.llm.common import durable, free_name
 from schoolyard.llm.components import components
 
 SEED = 42
@@ -57,18 +57,23 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_key", "fp"],
             )
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    """(doc_id, text_key, fp): xxhash64 and fingerprint, a signed long, of every row's text."""
+    plain = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text_col)).alias("text_key"),
+        F.col(text_col).alias("text"),
+    )
+    return plain.mapInArrow(_fingerprints(shingle), "doc_id long, text_key long, fp long")
 
 
 def _unary(fp: Column) -> Column:
@@ -229,6 +234,17 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, dense_cell: int = DENSE
     return links
 
 
+def fingerprint_groups(prints: DataFrame, max_bits: int = 4) -> DataFrame:
+    """(print, root, least): for every distinct fingerprint its group and its smallest doc_id."""
+    distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    linked = components(fingerprint_links(distinct.select("fp"), max_bits))
+    return durable(
+        distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
+            F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root"), "least"
+        )
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 4,
@@ -246,12 +262,7 @@ def near_duplicates(
     columns are not read.
     """
     prints = durable(fingerprints(docs, shingle, id_col, text_col))
-    distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = components(fingerprint_links(distinct.select("fp"), max_bits))
-    member = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
-        F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root"), "least"
-    )
-    member = durable(member)
+    member = fingerprint_groups(prints, max_bits)
     lowest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(lowest, "root").select("print", "component_id")
     return prints.join(named, F.col("fp") == F.col("print")).select(
@@ -260,3 +271,30 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    shingle: int = 4,
+    max_bits: int = 4,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """`docs` with one row of each group of near-duplicates, all columns kept.
+
+    The row with the smallest id stays (null last); of rows that repeat its id, one does. Texts
+    without a word are a group like others.
+    """
+    prints = durable(fingerprints(docs, shingle, id_col, text_col))
+    member = fingerprint_groups(prints, max_bits)
+    # by fingerprint first: a group of very many copies is a row per task
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    firsts = prints.groupBy("fp").agg(F.min(name).alias("name"))
+    staying = (
+        firsts.join(member, F.col("fp") == F.col("print")).groupBy("root").agg(F.min("name").alias("name"))
+    )
+    owner, other, key = (free_name(docs, x) for x in ("staying_id", "staying_key", "text_key"))
+    staying = staying.select(F.col("name.doc_id").alias(owner), F.col("name.text_key").alias(other))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col)))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(owner)) & (F.col(key) == F.col(other))
+    return keyed.join(staying, same).dropDuplicates([owner, other]).select(*docs.columns)
