@@ -84,12 +84,12 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
         _, _, t, b = heapq.heappop(heap)
         shared = len(s) + len(t) - windows
         if shared > 0:
-            # the smallest of one meet the largest of the other
-            pairs = list(zip(a[len(a) - shared :].tolist(), b[:shared][::-1].tolist(), strict=True))
+            # large sums keep a window to themselves, the rest meet from opposite ends
+            i, j = len(s) - shared, len(t) - shared
             first = len(sizes) + len(union)
-            union += pairs
-            sums = np.concatenate([s[: len(s) - shared], s[len(s) - shared :] + t[:shared][::-1], t[shared:]])
-            nodes = np.concatenate([a[: len(a) - shared], np.arange(first, first + shared), b[shared:]])
+            union += zip(a[i:].tolist(), b[j:][::-1].tolist(), strict=True)
+            sums = np.concatenate([s[:i], s[i:] + t[j:][::-1], t[:j]])
+            nodes = np.concatenate([a[:i], np.arange(first, first + shared), b[:j]])
         else:
             sums, nodes = np.concatenate([s, t]), np.concatenate([a, b])
         by_sum = np.argsort(-sums, kind="stable")
