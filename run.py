@@ -1,6 +1,6 @@
 """Builds every table of the model.
 
-    spark-submit run.py csv  <folder of extracts> <target folder>
+    spark-submit run.py csv  <folder of extracts> <target folder> [tables with line breaks ...]
     spark-submit run.py star <folder of star tables> <target folder>
 """
 
@@ -18,9 +18,9 @@ from schoolyard.sources.tables import Store
 
 
 def main() -> None:
-    kind, source, target = sys.argv[1:4]
+    kind, source, target, *multiline = sys.argv[1:]
     spark = prepare(SparkSession.builder.appName("schoolyard").config(map=STARTUP).getOrCreate())
-    raw = read_csv_all(spark, source) if kind == "csv" else StarSource(spark, source)
+    raw = read_csv_all(spark, source, multiline) if kind == "csv" else StarSource(spark, source)
     pipeline.run(raw, Store(spark, target))
 
 

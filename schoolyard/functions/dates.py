@@ -26,8 +26,14 @@ def valid_year(c: Column | str, lo: int = FIRST_YEAR, hi: int = LAST_YEAR) -> Co
 
 
 def in_year(c: Column | str, year: Column) -> Column:
-    """True when the date or timestamp falls in the given (bigint) year."""
-    return F.year(_col(c)).cast("bigint") == year
+    """True when the date or timestamp falls in the given (bigint) year.
+
+    A range on the bare column, like ``valid_year``.
+    """
+    first, c = year.cast("int"), _col(c)
+    return (c >= F.make_date(first, F.lit(1), F.lit(1))) & (
+        c < F.make_date(first + 1, F.lit(1), F.lit(1))
+    )
 
 
 def month_of(c: Column | str) -> Column:

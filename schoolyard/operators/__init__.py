@@ -3,7 +3,6 @@
 from schoolyard.operators.calendar import dense_months, month_list
 from schoolyard.operators.checks import Check, run_checks
 from schoolyard.operators.conform import conform_union
-from schoolyard.operators.known import value_if_known
 from schoolyard.operators.link import Lookup, link
 from schoolyard.operators.resolve import directory, resolve_entity
 from schoolyard.operators.text import joined_tags
@@ -19,5 +18,4 @@ __all__ = [
     "month_list",
     "resolve_entity",
     "run_checks",
-    "value_if_known",
 ]

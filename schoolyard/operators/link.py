@@ -12,12 +12,14 @@ A plain left join has three weak spots on large, uneven data:
 The last point depends on the shape of the plan: a partition is split only if both
 sides of the join come straight out of a shuffle.  The reduced parents are already
 partitioned by their key, which would let the join skip that shuffle, so the join
-uses a key of its own, and the parents, the smaller side, are shuffled once more.
+uses a second column, and the parents, the smaller side, are shuffled once more.
+That column is 0 wherever there is a key, and a hash of the child's own id where
+there is none; it follows from the row alone, so filters pass below the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,32 +44,46 @@ class Lookup:
     unique: bool = False
 
 
-def _parents(lookup: Lookup) -> DataFrame:
+def _zero(key: Column) -> Column:
+    """0, but not a literal, which the optimizer would take out of the join condition."""
+    return F.pmod(F.xxhash64(key), F.lit(1))
+
+
+def _parents(lookup: Lookup, native: bool) -> DataFrame:
     """One row per parent key."""
     row = F.struct(*[F.col(p).alias(c) for c, p in lookup.take.items()])
-    keyed = lookup.parent.select(
-        lookup.parent_key.cast("string").alias("_key"), row.alias("_row")
-    ).filter(F.col("_key").isNotNull())
+    key = lookup.parent_key if native else lookup.parent_key.cast("string")
+    keyed = lookup.parent.select(key.alias("_parent"), row.alias("_row")).filter(
+        F.col("_parent").isNotNull()
+    )
     if not lookup.unique:
-        keyed = keyed.groupBy("_key").agg(F.min("_row").alias("_row"))
-    return keyed.select(F.concat(F.lit("k"), F.col("_key")).alias("_join"), "_row")
+        keyed = keyed.groupBy("_parent").agg(F.min("_row").alias("_row"))
+    return keyed.select("_parent", _zero(F.col("_parent")).alias("_none"), "_row")
+
+
+def _type(df: DataFrame, column: Column):
+    return df.select(column).schema[0].dataType
 
 
-def link(child: DataFrame, *lookups: Lookup) -> DataFrame:
-    """Add the columns of every lookup to the child."""
+def link(child: DataFrame, *lookups: Lookup, row_id: Sequence[str]) -> DataFrame:
+    """Add the columns of every lookup to the child.
+
+    ``row_id`` are child columns that tell its rows apart.  Keys of the same type are
+    compared as they are, others as text.
+    """
     out = child
     for lookup in lookups:
-        key = lookup.key.cast("string")
-        # The partition id keeps copies of one row apart, and a task that is run
-        # again gives its rows the same value again.
-        spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in child.columns[:2]])
-        join_key = F.when(key.isNotNull(), F.concat(F.lit("k"), key)).otherwise(
-            F.concat(F.lit("s"), spread.cast("string"))
-        )
+        native = _type(out, lookup.key) == _type(lookup.parent, lookup.parent_key)
+        key = lookup.key if native else lookup.key.cast("string")
+        spread = F.when(key.isNull(), F.xxhash64(*row_id)).otherwise(_zero(key))
         out = (
-            out.withColumn("_join", join_key)
-            .join(_parents(lookup), "_join", "left")
+            out.withColumns({"_key": key, "_spread": spread})
+            .join(
+                _parents(lookup, native),
+                (F.col("_key") == F.col("_parent")) & (F.col("_spread") == F.col("_none")),
+                "left",
+            )
             .withColumns({c: F.col(f"_row.{c}") for c in lookup.take})
-            .drop("_join", "_row")
+            .drop("_key", "_spread", "_parent", "_none", "_row")
         )
     return out

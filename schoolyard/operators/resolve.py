@@ -64,6 +64,7 @@ def directory(
     linked = link(
         known,
         Lookup(F.col(key), masters, F.col(key), {"_master_id": "source_id"}),
+        row_id=[tag, "source_id"],
     )
     return linked.select(
         tag,

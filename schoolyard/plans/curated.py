@@ -6,7 +6,7 @@ the load stamp, which is added when a table is written.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,6 @@ from schoolyard.operators import (
     joined_tags,
     link,
     resolve_entity,
-    value_if_known,
 )
 
 # Sources of a school in order of precedence, and their id columns.
@@ -147,6 +146,7 @@ def contracts(contract: DataFrame, school_dir: DataFrame, managers: DataFrame) -
             F.col("account_manager_id"),
             {"account_manager_id": "account_manager_id"},
         ),
+        row_id=["crm_contract_id"],
     )
     return linked.select(
         F.col("crm_contract_id").alias("contract_id"),
@@ -234,6 +234,7 @@ def link_orders(unified: DataFrame, contract: DataFrame, school_dir: DataFrame)
             fn.scoped("source_system", "source_id"),
             {"_customer_school": "school_id"},
         ),
+        row_id=["source_system", "source_order_id"],
     ).withColumn("school_id", F.coalesce("_contract_school", "_customer_school"))
 
 
@@ -266,15 +267,19 @@ def order_keys(unified: DataFrame) -> DataFrame:
     )
 
 
-def _with_order_id(df: DataFrame, system: Column, keys: DataFrame) -> DataFrame:
-    """The order's surrogate key, which follows from its source key, if it exists."""
-    return value_if_known(
+def _with_order_id(
+    df: DataFrame, system: Column, keys: DataFrame, row_id: Sequence[str]
+) -> DataFrame:
+    """The order's surrogate key, if the order exists."""
+    return link(
         df,
-        fn.scoped(system, "source_order_id"),
-        keys,
-        fn.scoped("source_system", "source_order_id"),
-        fn.surrogate_key(system, "source_order_id"),
-        "order_id",
+        Lookup(
+            fn.scoped(system, "source_order_id"),
+            keys,
+            fn.scoped("source_system", "source_order_id"),
+            {"order_id": "order_id"},
+        ),
+        row_id=row_id,
     )
 
 
@@ -314,7 +319,8 @@ def order_items_unified(item_a: DataFrame, item_b: DataFrame) -> DataFrame:
 
 
 def order_items(unified: DataFrame, keys: DataFrame) -> DataFrame:
-    return _with_order_id(unified, F.col("source_system"), keys).select(
+    row_id = ["source_system", "source_line_id"]
+    return _with_order_id(unified, F.col("source_system"), keys, row_id).select(
         fn.surrogate_key("source_system", "source_order_id", "source_line_id").alias(
             "order_item_id"
         ),
@@ -412,7 +418,8 @@ def order_system_of_delivery() -> Column:
 
 
 def deliveries(unified: DataFrame, keys: DataFrame) -> DataFrame:
-    return _with_order_id(unified, order_system_of_delivery(), keys).select(
+    row_id = ["source_system", "source_delivery_id"]
+    return _with_order_id(unified, order_system_of_delivery(), keys, row_id).select(
         fn.surrogate_key("source_system", "source_delivery_id").alias("delivery_id"),
         "source_delivery_id",
         "source_order_id",
@@ -461,6 +468,7 @@ def tickets(
             {"tags": "tags"},
             unique=True,
         ),
+        row_id=["ticket_id"],
     )
     return linked.select(
         "ticket_id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,11 @@ def _build(ws: Workspace, entity: str) -> DataFrame:
 
 
 def run(raw, store: Store) -> Workspace:
-    """Build and write everything; each entity is read back by its dependants."""
+    """Build and write everything; each entity is read back by its dependants.
+
+    The clean layer is registered as views.
+    """
+    clean_views(Workspace(raw))
     stored: dict[str, DataFrame] = {}
     entities = ("school", "account_manager", "contract", "order", "order_item", "delivery", "ticket")
     for entity in entities:
@@ -60,32 +65,64 @@ def run(raw, store: Store) -> Workspace:
     return Workspace(raw, stored)
 
 
-def refresh_orders(ws: Workspace, store: Store, since: dt.date) -> DataFrame:
-    """Rebuild the orders of the months from ``since`` on and leave older months.
+def _refresh(
+    store: Store,
+    entity: str,
+    unified: DataFrame,
+    row_key: str,
+    build: Callable[[DataFrame], DataFrame],
+    since: dt.date,
+) -> DataFrame:
+    """Rebuild the months from ``since`` on, what has no date, and what has moved.
 
-    The date is applied to the unified orders, before anything is joined, so only
-    the wanted months are read and linked.
+    A row that is, or was when the table was written, in the refreshed months may have come
+    from another month or gone to one; those months are rebuilt with it. The months are applied
+    to the unified rows before anything is joined, so only they are read and linked.
     """
-    start = since.replace(day=1)
-    recent = ws.orders_unified.filter(F.col("order_date") >= F.lit(start))
-    fresh = curated.orders(recent, ws.contracts, ws.school_directory)
-    return store.refresh_months(
-        stamped(fresh).withColumn(MONTH, fn.month_of("order_date")),
-        "curated",
-        curated_name("order"),
-        MONTH,
-        "school_id",
+    day, cluster = _MONTHLY[entity]
+    name = curated_name(entity)
+    start = F.lit(since.replace(day=1))
+    keys = ["source_system", row_key]
+    before = store.read("curated", name).select(*keys, F.col(MONTH).alias("month"))
+    now = unified.select(*keys, fn.month_of(day).alias("month"))
+
+    def refreshed(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("month").isNull() | (F.col("month") >= start))
+
+    touched = refreshed(before).select(*keys).union(refreshed(now).select(*keys)).distinct()
+    places = before.union(now).join(touched, keys, "left_semi").select("month").distinct()
+    months = [r["month"] for r in places.collect()]  # bounded by the calendar
+    dated = [m for m in months if m is not None]
+    wanted = fn.month_of(day).isin(dated)
+    if None in months:
+        wanted = wanted | F.col(day).isNull()
+    if dated:  # a range on the bare column, which reaches the files
+        in_range = F.col(day) >= F.lit(min(dated))
+        wanted = wanted & (in_range | F.col(day).isNull())
+    fresh = stamped(build(unified.filter(wanted))).withColumn(MONTH, fn.month_of(day))
+    return store.refresh_months(fresh, "curated", name, MONTH, cluster, months)
+
+
+def refresh_orders(ws: Workspace, store: Store, since: dt.date) -> DataFrame:
+    """The order table as a full rebuild would leave it, given that what changed is dated
+    ``since`` or later now, was so before, or has no date."""
+    return _refresh(
+        store,
+        "order",
+        ws.orders_unified,
+        "source_order_id",
+        lambda recent: curated.orders(recent, ws.contracts, ws.school_directory),
+        since,
     )
 
 
 def refresh_deliveries(ws: Workspace, store: Store, since: dt.date) -> DataFrame:
-    start = since.replace(day=1)
-    recent = ws.deliveries_unified.filter(F.col("delivery_date") >= F.lit(start))
-    fresh = curated.deliveries(recent, ws.order_keys)
-    return store.refresh_months(
-        stamped(fresh).withColumn(MONTH, fn.month_of("delivery_date")),
-        "curated",
-        curated_name("delivery"),
-        MONTH,
-        "order_id",
+    """The delivery table, likewise."""
+    return _refresh(
+        store,
+        "delivery",
+        ws.deliveries_unified,
+        "source_delivery_id",
+        lambda recent: curated.deliveries(recent, ws.order_keys),
+        since,
     )

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
 from schoolyard.functions.dates import FIRST_YEAR, LAST_YEAR
-from schoolyard.plans.report import BySystem, activity_per_order, lines_per_order, with_activity
+from schoolyard.plans.report import (
+    BySystem,
+    activity_per_order,
+    lines_per_order,
+    owner_totals,
+    with_activity,
+)
 
 
 def _share(part: str, whole: str) -> Column:
@@ -236,6 +242,10 @@ def delivered_sales(
         confirmed.select(*key, "school_id", fn.month_of("order_date").alias("year_month")),
         activity_per_order(facts),
     ).filter("has_lines")
+    # an order that occurs more than once is one order with the same deliveries
+    per_order = per_order.groupBy("school_id", "year_month", *key).agg(
+        F.sum("amount").alias("amount"), F.max("drops").alias("drops")
+    )
     names = schools.select("school_id", F.col("name").alias("school_name"))
     return (
         per_order.groupBy("school_id", "year_month")
@@ -276,17 +286,12 @@ def manager_sales(
         confirmed.select(*key, "contract_id", "school_id", "account_manager_id"),
         lines.withColumn("has_lines", F.lit(True)),
     ).filter("has_lines")
-    per_school = (
-        sold.groupBy("account_manager_id", "contract_id", "school_id")
-        .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
-        .join(active, "contract_id", "left_semi")
-        .groupBy("account_manager_id", "school_id")
-        .agg(F.sum("amount").alias("amount"), F.sum("orders").alias("orders"))
-    )
-    per_manager = per_school.groupBy("account_manager_id").agg(
-        F.sum("amount").cast("double").alias("ytd_ordered_amount"),
-        F.count("school_id").alias("school_count"),
-        F.sum("orders").alias("order_count"),
+    sold = sold.join(active, "contract_id", "left_semi").withColumn("sold", F.lit(True))
+    per_manager = owner_totals(sold, "account_manager_id", ["amount"]).select(
+        "account_manager_id",
+        F.col("amount").cast("double").alias("ytd_ordered_amount"),
+        F.col("schools").alias("school_count"),
+        F.col("orders").alias("order_count"),
     )
     return per_manager.join(managers, "account_manager_id").select(
         "account_manager_id",

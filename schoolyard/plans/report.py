@@ -25,7 +25,6 @@ _MEASURES = {
     "active_orders": "bigint",
     "cancelled_orders": "bigint",
     "ordered_amount": "decimal(38,4)",
-    "confirmed_amount": "decimal(38,4)",
     "ordered_quantity": "decimal(38,4)",
     "total_deliveries": "bigint",
     "successful_deliveries": "bigint",
@@ -106,7 +105,7 @@ def with_activity(orders: DataFrame, activity: DataFrame) -> DataFrame:
     """Orders with their activity; nothing found means NULLs."""
     key = fn.scoped(*ORDER_KEY)
     wanted = {c: c for c in activity.columns if c not in ORDER_KEY}
-    return link(orders, Lookup(key, activity, key, wanted, unique=True))
+    return link(orders, Lookup(key, activity, key, wanted, unique=True), row_id=ORDER_KEY)
 
 
 def _order_facts(
@@ -135,7 +134,6 @@ def _order_facts(
             facts[system].append(lines_per_order(df))
         placed |= {
             "ordered_amount": F.col("amount"),
-            "confirmed_amount": F.when(~F.col("is_cancelled"), F.col("amount")),
             "ordered_quantity": F.col("quantity"),
         }
     entries = F.when(F.col("order_date").isNotNull(), F.array(_entry(month, **placed)))
@@ -237,8 +235,7 @@ def active_months(
 def monthly_metrics(schools: DataFrame, facts: DataFrame, months: DataFrame) -> DataFrame:
     """Every school in every active month; counts and sums 0, averages NULL if none.
 
-    ``ordered_amount`` includes cancelled orders; ``confirmed_amount`` leaves
-    them out.
+    ``ordered_amount`` includes cancelled orders.
     """
     dense = dense_months(
         schools.select("school_id", F.col("name").alias("school_name"), "cnpj", "city", "state"),
@@ -262,7 +259,6 @@ def monthly_metrics(schools: DataFrame, facts: DataFrame, months: DataFrame) ->
         filled("active_orders", "bigint"),
         filled("cancelled_orders", "bigint"),
         filled("ordered_amount", "double"),
-        filled("confirmed_amount", "double"),
         filled("ordered_quantity", "double"),
         filled("total_deliveries", "bigint"),
         filled("successful_deliveries", "bigint"),
@@ -285,6 +281,34 @@ def reference_year(orders: DataFrame) -> DataFrame:
     return orders.agg(F.year(F.max("order_date")).cast("bigint").alias("year"))
 
 
+def owner_totals(per_order: DataFrame, owner: str, sums: Sequence[str]) -> DataFrame:
+    """(owner, orders, schools, sums): distinct orders and schools of the orders that are
+    ``sold``, and sums over all rows.
+
+    Rows meet by order first, where an order that occurs more than once becomes one, and by
+    (owner, school) next, so an owner with a third of all orders is spread over many groups.
+    An order with several schools counts with its first.
+    """
+    once = per_order.groupBy(owner, *ORDER_KEY).agg(
+        F.bool_or("sold").alias("sold"),
+        F.array_sort(F.collect_set(F.when(F.col("sold"), F.col("school_id")))).alias("schools"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+    parts = once.select(
+        owner, "sold", *sums, F.posexplode_outer("schools").alias("nth", "school_id")
+    )
+    first = F.coalesce(F.col("nth"), F.lit(0)) == 0
+    per_school = parts.groupBy(owner, "school_id").agg(
+        F.count_if(first & F.col("sold")).alias("orders"),
+        *[F.sum(F.when(first, F.col(c))).alias(c) for c in sums],
+    )
+    return per_school.groupBy(owner).agg(
+        F.sum("orders").alias("orders"),
+        F.count("school_id").alias("schools"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
 def ytd_portfolio(
     managers: DataFrame,
     contracts: DataFrame,
@@ -296,9 +320,7 @@ def ytd_portfolio(
     """Portfolio of every account manager in the reference year.
 
     ``tickets`` are clean tickets; a ticket belongs to the manager of the ERP B
-    order it names.  Orders, lines and tickets meet once at order grain and are
-    summed by (manager, school) first, so a manager with a third of all orders is
-    spread over many groups and the distinct schools need no second pass.
+    order it names.  Orders, lines and tickets meet once at order grain.
     """
     ref = year.scalar()
     signed = (
@@ -320,21 +342,17 @@ def ytd_portfolio(
         .select(*ORDER_KEY, "account_manager_id", "school_id", sold.alias("sold"))
     )
     per_order = with_activity(per_order, activity_per_order(facts))
-    per_school = per_order.groupBy("account_manager_id", "school_id").agg(
-        F.count_if("sold").alias("orders"),
-        F.sum(F.when(F.col("sold"), F.col("amount"))).alias("amount"),
-        F.sum("tickets").alias("tickets"),
-        F.sum("hours").alias("hours"),
-        F.sum("solved").alias("solved"),
-    )
-    served = F.col("school_id").isNotNull() & (F.col("orders") > 0)
-    activity = per_school.groupBy("account_manager_id").agg(
-        F.sum("orders").alias("total_orders"),
-        F.count_if(served).alias("total_schools_served"),
-        F.sum("amount").cast("double").alias("ordered_amount"),
-        F.sum("tickets").alias("total_tickets"),
-        F.sum("hours").alias("hours"),
-        F.sum("solved").alias("solved"),
+    per_order = per_order.withColumn("amount", F.when(F.col("sold"), F.col("amount")))
+    activity = owner_totals(
+        per_order, "account_manager_id", ["amount", "tickets", "hours", "solved"]
+    ).select(
+        "account_manager_id",
+        F.col("orders").alias("total_orders"),
+        F.col("schools").alias("total_schools_served"),
+        F.col("amount").cast("double").alias("ordered_amount"),
+        F.col("tickets").alias("total_tickets"),
+        "hours",
+        "solved",
     )
 
     def zero(c: str) -> Column:

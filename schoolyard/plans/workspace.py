@@ -38,6 +38,10 @@ class Workspace:
     """
 
     def __init__(self, raw, stored: Mapping[str, DataFrame] | None = None):
+        if isinstance(raw, Mapping):  # a StarSource comes with a prepared session
+            for df in raw.values():
+                prepare(df.sparkSession)
+                break
         self.raw = raw
         self.clean = _Clean(raw)
         self.stored = dict(stored or {})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,8 +79,14 @@ def read_csv(
     )
 
 
-def read_csv_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {t: read_csv(spark, folder, t) for t in RAW_TABLES}
+def read_csv_all(
+    spark: SparkSession, folder: str, multiline: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """All extracts; ``multiline`` names the tables whose texts may hold quoted line breaks."""
+    unknown = set(multiline) - set(RAW_TABLES)
+    if unknown:
+        raise ValueError(f"no such tables: {sorted(unknown)}")
+    return {t: read_csv(spark, folder, t, t in multiline) for t in RAW_TABLES}
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,26 +47,57 @@ class Store:
         return self.read(layer, name)
 
     def refresh_months(
-        self, df: DataFrame, layer: str, name: str, month: str, cluster_by: str
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        month: str,
+        cluster_by: str,
+        months: Collection[dt.date | None],
     ) -> DataFrame:
-        """Overwrite only the months that occur in ``df``; the others stay."""
+        """Overwrite exactly the given months (None: rows without one); the others stay.
+
+        ``df`` holds all rows of those months. A month that has none any more is emptied.
+        """
         if self._root is None:
             table = f"{layer}.{name}"
-            arranged = self._arranged(df.select(*self.read(layer, name).columns), month, cluster_by)
+            df = df.select(*self.read(layer, name).columns)
             # insertInto takes the overwrite mode from the session only
             mode = "spark.sql.sources.partitionOverwriteMode"
             before = self._spark.conf.get(mode)
             self._spark.conf.set(mode, "dynamic")
             try:
-                arranged.write.mode("overwrite").insertInto(table)
+                self._arranged(df, month, cluster_by).write.mode("overwrite").insertInto(table)
             finally:
                 self._spark.conf.set(mode, before)
         else:
             self._by_month(df, month, cluster_by).option(
                 "partitionOverwriteMode", "dynamic"
             ).save(self._path(layer, name))
+        written = self.read(layer, name)
+        # only the months themselves come here, which the calendar bounds
+        filled = {r[0] for r in df.select(month).distinct().collect()}
+        empty = written.drop(month).limit(0)
+        for gone in set(months) - filled:
+            self._empty(empty, layer, name, month, gone)
         return self.read(layer, name)
 
+    def _empty(
+        self, empty: DataFrame, layer: str, name: str, month: str, gone: dt.date | None
+    ) -> None:
+        if self._root is None:
+            value = "NULL" if gone is None else f"DATE'{gone.isoformat()}'"
+            columns = ", ".join(f"CAST(NULL AS {t}) AS `{c}`" for c, t in empty.dtypes)
+            self._spark.sql(
+                f"INSERT OVERWRITE TABLE {layer}.{name} PARTITION ({month} = {value}) "
+                f"SELECT {columns} WHERE false"
+            )
+        else:
+            folder = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone.isoformat()
+            # built from the schema: the rows to be overwritten are not read
+            bare = self._spark.createDataFrame([], empty.schema)
+            bare.write.mode("overwrite").parquet(f"{self._path(layer, name)}/{month}={folder}")
+
     def _arranged(self, df: DataFrame, month: str, cluster_by: str) -> DataFrame:
         # Rebalancing gathers a month in few files, yet splits a month that holds
         # much of the data; a plain repartition would give it to one task.

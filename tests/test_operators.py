@@ -35,7 +35,7 @@ KEYS = some.one_of(some.none(), some.sampled_from(["a", "b", "hot", "k", ""]))
 def test_link_equals_a_plain_lookup(spark, children, parents):
     child = spark.createDataFrame(list(enumerate(children)), "id bigint, key string")
     parent = spark.createDataFrame(parents or [(None, None)], "pk string, name string")
-    got = link(child, Lookup(F.col("key"), parent, F.col("pk"), {"name": "name"}))
+    got = link(child, Lookup(F.col("key"), parent, F.col("pk"), {"name": "name"}), row_id=["id"])
     lowest = defaultdict(list)
     for k, v in parents:
         if k is not None:
@@ -80,7 +80,7 @@ def test_link_splits_a_hot_key_and_spreads_missing_keys(spark):
         parent = spark.range(5000).select(
             F.col("id").alias("pk"), F.concat(F.lit("P"), F.col("id")).alias("name")
         )
-        linked = link(child, Lookup(F.col("k"), parent, F.col("pk"), {"name": "name"}))
+        linked = link(child, Lookup(F.col("k"), parent, F.col("pk"), {"name": "name"}), row_id=["id"])
         summed = linked.agg(
             F.count("*").alias("n"),
             F.count("name").alias("found"),
@@ -101,11 +101,21 @@ def test_link_splits_a_hot_key_and_spreads_missing_keys(spark):
 def test_link_does_not_multiply_on_copies_of_a_parent(spark):
     child = spark.createDataFrame([(i, "hot") for i in range(500)], "id bigint, key string")
     parent = spark.createDataFrame([("hot", "same")] * 500, "pk string, name string")
-    got = link(child, Lookup(F.col("key"), parent, F.col("pk"), {"name": "name"}))
+    got = link(child, Lookup(F.col("key"), parent, F.col("pk"), {"name": "name"}), row_id=["id"])
     assert got.count() == 500
     assert got.filter(F.col("name") == "same").count() == 500
 
 
+def test_filters_pass_below_a_link(spark, tmp_path):
+    spark.range(100).withColumn("key", F.col("id") % 7).write.parquet(f"{tmp_path}/c")
+    child = spark.read.parquet(f"{tmp_path}/c")
+    parent = spark.range(5).select(F.col("id").alias("pk"), F.col("id").alias("name"))
+    linked = link(child, Lookup(F.col("key"), parent, F.col("pk"), {"name": "name"}), row_id=["id"])
+    plan = linked.filter("id >= 50")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,50)" in plan
+    assert "cast(key" not in plan  # numbers are compared as numbers
+
+
 def test_conform_union_keeps_every_row(spark):
     a = spark.createDataFrame([(1, "x")], "id bigint, v string")
     b = spark.createDataFrame([("x", 1)], "v string, id bigint")
@@ -232,42 +242,3 @@ def test_checks_count_planted_faults(spark):
         ("status", "accepted_values"): 2,
         ("parent", "relationships"): 3,
     }
-
-
-def _known(spark, monkeypatch, few, folder=True):
-    from schoolyard.operators import known as module
-
-    monkeypatch.setattr(module, "FEW", few)
-    if not folder:
-        monkeypatch.setattr(module, "checkpoint_folder", lambda spark: None)
-    child = spark.createDataFrame(
-        [(1, "a"), (2, "a"), (3, "x"), (4, None), (5, "y"), (6, "b")], "id bigint, k string"
-    )
-    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "pk string")
-    got = module.value_if_known(
-        child, F.col("k"), parent, F.col("pk"), F.concat(F.lit("id-"), F.col("k")), "found"
-    )
-    assert {(r.id, r.found) for r in got.collect()} == {
-        (1, "id-a"),
-        (2, "id-a"),
-        (3, None),
-        (4, None),
-        (5, None),
-        (6, "id-b"),
-    }
-    assert got.columns == ["id", "k", "found"]
-    return got._jdf.queryExecution().executedPlan().toString()
-
-
-def test_value_if_known_keeps_rows_in_place_when_few_keys_are_unknown(spark, monkeypatch):
-    plan = _known(spark, monkeypatch, few=10)
-    assert "BroadcastHashJoin" in plan
-    assert "hashpartitioning" not in plan
-
-
-def test_value_if_known_shuffles_when_many_keys_are_unknown(spark, monkeypatch):
-    assert "hashpartitioning" in _known(spark, monkeypatch, few=1)
-
-
-def test_value_if_known_without_a_shared_folder(spark, monkeypatch):
-    assert "hashpartitioning" in _known(spark, monkeypatch, few=10, folder=False)
