@@ -1,8 +1,8 @@
 """DuckDB statements for the registered queries, written from the rules alone.
 
 A statement is a final SELECT plus the named sub-queries it mentions, directly or
-through others.  They are phrased differently from the Spark plans on purpose:
-plain joins and grouping without pre-aggregation, key routing or folded maps.
+through others.  They are plain joins and groupings over the rules' own values, and
+import nothing from the library.
 """
 
 from __future__ import annotations

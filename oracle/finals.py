@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from schoolyard.plans.declared import CHECKS
-from schoolyard.sources.raw import RAW_TABLES
+from oracle.checks import failures
 
 
 def _all(table: str, dates: str) -> str:
@@ -82,31 +81,12 @@ def _part(table: str) -> str:
     return _ENTITY.get(table, f"c_{table}")
 
 
-def _check(c) -> str:
-    t, col = _part(c.table), c.column
-    if c.kind == "not_null":
-        failures = f"SELECT count(*) FROM {t} WHERE {col} IS NULL"
-    elif c.kind == "unique":
-        failures = (
-            f"SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
-            f"GROUP BY {col} HAVING count(*) > 1)"
-        )
-    elif c.kind == "accepted_values":
-        words = ", ".join(f"'{v}'" for v in c.values)
-        failures = f"SELECT count(DISTINCT {col}) FROM {t} WHERE {col} NOT IN ({words})"
-    else:
-        failures = (
-            f"SELECT count(*) FROM {t} x WHERE {col} IS NOT NULL AND NOT EXISTS "
-            f"(FROM {_part(c.parent)} y WHERE y.{c.parent_column} = x.{col})"
-        )
-    return (
-        f"SELECT '{c.table}' AS table_name, '{col}' AS column_name, '{c.kind}' AS check_name, "
-        f"({failures}) AS failures"
-    )
-
-
 def _checks(kind: str) -> str:
-    return "\nUNION ALL ".join(_check(c) for c in CHECKS if c.kind == kind)
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS check_name, "
+        f"({query}) AS failures"
+        for table, column, query in failures(_part)[kind]
+    )
 
 
 def _matches(left: str, key: str, targets: dict[str, str]) -> str:
@@ -144,10 +124,10 @@ FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_dat
 def finals() -> dict[str, str]:
     money = "CAST(sum(CAST(ordered_amount AS DECIMAL(18,4))) AS DOUBLE)"
     counts = ", ".join(
-        f"('{t}', ({_RAW_COUNTS[t]}), (SELECT count(*) FROM c_{t}))" for t in RAW_TABLES
+        f"('{t}', ({_RAW_COUNTS[t]}), (SELECT count(*) FROM c_{t}))" for t in _CLEAN_DATES
     )
     return {
-        **{f"clean_{t}": _all(f"c_{t}", _CLEAN_DATES[t]) for t in RAW_TABLES},
+        **{f"clean_{t}": _all(f"c_{t}", _CLEAN_DATES[t]) for t in _CLEAN_DATES},
         "normalize_keys": f"""
 SELECT 'crm' AS source_system, 'A' || k AS source_id, {_DRESSED_TAX} AS raw_value, tax AS digits,
        tax AS tax_id FROM x_cust WHERE k % 10 < 7

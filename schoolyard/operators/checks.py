@@ -49,15 +49,35 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return nulls.select(F.inline("_checks"))
 
 
-def _value_checks(df: DataFrame, check: Check) -> DataFrame:
-    """unique / accepted_values: aggregate by value, then count the bad values."""
-    v = F.col(check.column)
-    values = df.filter(v.isNotNull())
-    if check.kind == "unique":
-        bad = values.groupBy(v).count().filter(F.col("count") > 1)
-    else:
-        bad = values.filter(~v.isin(*check.values)).select(v).distinct()
-    return bad.agg(F.count(F.lit(1)).alias("failures")).select(*_label(check), "failures")
+def _value_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All unique and accepted_values checks of a table in one pass.
+
+    A row gives a (check, value) pair per check, without the values that a check accepts.
+    Pairs are counted once, map-side first, and each check counts its bad values.
+    """
+
+    def suspect(c: Check) -> Column:
+        v = F.col(c.column)
+        return (v if c.kind == "unique" else F.when(~v.isin(*c.values), v)).cast("string")
+
+    pairs = F.array(
+        *[F.struct(F.lit(i).alias("check"), suspect(c).alias("value")) for i, c in enumerate(checks)]
+    )
+    counted = (
+        df.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("check", "value").count()
+    )
+
+    def bad(i: int, c: Check) -> Column:
+        found = F.col("check") == i
+        return found & (F.col("count") > 1) if c.kind == "unique" else found
+
+    failed = F.array(
+        *[
+            F.struct(*_label(c), F.count_if(bad(i, c)).alias("failures"))
+            for i, c in enumerate(checks)
+        ]
+    )
+    return counted.agg(failed.alias("_checks")).select(F.inline("_checks"))
 
 
 def _relationship(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
@@ -74,20 +94,18 @@ def _relationship(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
 def run_checks(table: Callable[[str], DataFrame], checks: Iterable[Check]) -> DataFrame:
     """(table_name, column_name, check_name, failures) for every check.
 
-    not_null checks of one table share a pass.  The others aggregate by the column
-    first, so a repeated value shrinks map-side and no group is collected.
+    not_null checks of one table share a pass, and so do its unique and accepted_values
+    checks.  Values are counted map-side first; no group is collected.
     """
-    checks = list(checks)
     out: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    passes: dict[tuple[str, bool], list[Check]] = {}
     for c in checks:
-        if c.kind == "not_null":
-            by_table.setdefault(c.table, []).append(c)
-        elif c.kind == "relationships":
+        if c.kind == "relationships":
             out.append(_relationship(table(c.table), table(c.parent), c))
-        elif c.kind in ("unique", "accepted_values"):
-            out.append(_value_checks(table(c.table), c))
+        elif c.kind in ("unique", "accepted_values", "not_null"):
+            passes.setdefault((c.table, c.kind == "not_null"), []).append(c)
         else:
             raise ValueError(f"unknown check {c.kind!r}")
-    out += [_row_checks(table(t), group) for t, group in by_table.items()]
+    for (name, by_row), group in passes.items():
+        out.append((_row_checks if by_row else _value_checks)(table(name), group))
     return reduce(DataFrame.unionByName, out)
