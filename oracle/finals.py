@@ -233,6 +233,46 @@ JOIN e_order o ON o.contract_id = c.contract_id AND NOT o.is_cancelled
 JOIN x_year ON year(o.order_date) = ref
 JOIN e_item i ON i.order_id = o.order_id
 GROUP BY m.account_manager_id""",
+        "contract_reconciliation": """
+SELECT c.contract_id, any_value(c.contract_number) AS contract_number,
+       any_value(c.school_id) AS school_id, any_value(c.grand_total) AS grand_total,
+       count(DISTINCT o.order_id) AS total_orders,
+       CAST(coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS ordered_amount,
+       CAST(CAST(any_value(c.grand_total) AS DECIMAL(18,4))
+            - coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS open_amount
+FROM e_contract c
+LEFT JOIN e_order o ON o.contract_id = c.contract_id AND NOT o.is_cancelled
+LEFT JOIN e_item i ON i.order_id = o.order_id
+GROUP BY c.contract_id""",
+        "network_rollup": """
+SELECT m.parent_account_id AS network_id,
+       (SELECT any_value(name) FROM c_crm_account n WHERE n.crm_account_id = m.parent_account_id)
+           AS network_name,
+       count(DISTINCT m.crm_account_id) AS members,
+       count(DISTINCT o.school_id) AS ordering_members, count(DISTINCT o.order_id) AS total_orders,
+       CAST(coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS ordered_amount
+FROM c_crm_account m
+LEFT JOIN e_order o ON o.school_id = m.crm_account_id AND NOT o.is_cancelled
+LEFT JOIN e_item i ON i.order_id = o.order_id
+WHERE NOT m.is_deleted AND m.parent_account_id IS NOT NULL
+GROUP BY m.parent_account_id""",
+        "manager_brands": """
+SELECT account_manager_id, brand, count(DISTINCT signed_id) AS total_contracts,
+       CAST(coalesce(sum(signed), 0) AS DOUBLE) AS contracted_amount,
+       count(DISTINCT order_id) AS total_orders,
+       CAST(coalesce(sum(sold), 0) AS DOUBLE) AS ordered_amount
+FROM (SELECT account_manager_id, brand, contract_id AS signed_id,
+             CAST(grand_total AS DECIMAL(18,4)) AS signed, NULL AS order_id,
+             CAST(NULL AS DECIMAL(18,4)) AS sold
+      FROM e_contract, x_year WHERE NOT is_cancelled AND year(start_date) = ref
+      UNION ALL
+      SELECT o.account_manager_id, c.brand, NULL, NULL, o.order_id,
+             CAST(i.line_total AS DECIMAL(18,4))
+      FROM x_year, e_order o LEFT JOIN e_contract c ON c.contract_id = o.contract_id
+      LEFT JOIN e_item i ON i.order_id = o.order_id
+      WHERE NOT o.is_cancelled AND year(o.order_date) = ref)
+WHERE account_manager_id IS NOT NULL
+GROUP BY account_manager_id, brand""",
         "cross_erp_duplicate_orders": _close_orders(1),
         "cross_erp_similar_orders": _close_orders(100_000),
         "dq_unique": _checks("unique"),

@@ -1,6 +1,6 @@
 """Column expressions; all of them stay inside the JVM."""
 
-from schoolyard.functions.amounts import exact, exact_sum, exact_total
+from schoolyard.functions.amounts import TOTAL, exact, exact_sum, exact_total
 from schoolyard.functions.dates import (
     date_or_null,
     days_between,
@@ -13,6 +13,7 @@ from schoolyard.functions.keys import digits, norm_code, scoped, surrogate_key,
 from schoolyard.functions.status import map_status
 
 __all__ = [
+    "TOTAL",
     "date_or_null",
     "days_between",
     "digits",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from schoolyard import functions as fn
 from schoolyard.operators import dense_months, joined_tags, run_checks
-from schoolyard.plans import cards, declared, profile
+from schoolyard.plans import cards, declared, extensions, profile
 from schoolyard.plans.clean import CLEAN
 from schoolyard.plans.workspace import Workspace
 from schoolyard.sources.raw import RAW_TABLES, row_counts
@@ -280,6 +280,15 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "cross_erp_similar_orders": lambda ws: profile.duplicate_orders_across_systems(
         ws.orders, ws.line_activity, tolerance=100_000
     ),
+    "contract_reconciliation": lambda ws: extensions.contract_reconciliation(
+        ws.contracts, ws.orders, ws.line_activity
+    ),
+    "network_rollup": lambda ws: extensions.network_rollup(
+        ws.clean["crm_account"], ws.orders, ws.line_activity
+    ),
+    "manager_brands": lambda ws: extensions.manager_brands(
+        ws.contracts, ws.orders, ws.line_activity, ws.reference_year
+    ),
     "dq_unique": _declared("unique"),
     "dq_not_null": _declared("not_null"),
     "dq_accepted_values": _declared("accepted_values"),
