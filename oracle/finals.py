@@ -256,6 +256,31 @@ LEFT JOIN e_order o ON o.school_id = m.crm_account_id AND NOT o.is_cancelled
 LEFT JOIN e_item i ON i.order_id = o.order_id
 WHERE NOT m.is_deleted AND m.parent_account_id IS NOT NULL
 GROUP BY m.parent_account_id""",
+        "proportional_delivery": """
+SELECT school_id, count(*) AS total_orders,
+       CAST(coalesce(sum(amount), 0) AS DOUBLE) AS ordered_amount,
+       CAST(coalesce(sum(CASE WHEN source_system = 'erp_a' THEN by_line
+            WHEN quantity > 0 THEN CAST(CAST(amount AS DOUBLE)
+                 * least(CAST(coalesce(noted, 0) AS DOUBLE) / CAST(quantity AS DOUBLE), 1.0)
+                 AS DECIMAL(18,4)) ELSE 0 END), 0) AS DOUBLE) AS delivered_amount
+FROM (
+  SELECT o.order_id, o.school_id, o.source_system,
+         any_value(o.source_order_id) AS source_order_id,
+         sum(CAST(line_total AS DECIMAL(18,4))) AS amount,
+         sum(CAST(quantity AS DECIMAL(18,4))) AS quantity,
+         sum(CAST(CASE WHEN quantity > 0
+             THEN line_total * least(coalesce(delivered_quantity, 0) / quantity, 1.0) ELSE 0 END
+             AS DECIMAL(18,4))) AS by_line
+  FROM e_order o LEFT JOIN e_item i ON i.order_id = o.order_id
+  WHERE NOT o.is_cancelled AND o.school_id IS NOT NULL
+  GROUP BY o.order_id, o.school_id, o.source_system
+) per_order
+LEFT JOIN (
+  SELECT pedido_id::VARCHAR AS source_order_id, sum(quantity_delivered) AS noted
+  FROM c_fin_nota_fiscal
+  WHERE coalesce(delivery_status NOT IN ('devolvido', 'extraviado'), true) GROUP BY pedido_id
+) noted ON source_system = 'erp_b' AND noted.source_order_id = per_order.source_order_id
+GROUP BY school_id""",
         "manager_brands": """
 SELECT account_manager_id, brand, count(DISTINCT signed_id) AS total_contracts,
        CAST(coalesce(sum(signed), 0) AS DOUBLE) AS contracted_amount,

@@ -1,13 +1,14 @@
-"""Reports the modelled project plans for later: reconciliation, networks, brands."""
+"""Reports that the modelled project plans for later."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
+from schoolyard.functions import status as st
 from schoolyard.operators import Lookup, link
-from schoolyard.plans.report import ORDER_KEY, with_activity
+from schoolyard.plans.report import ORDER_KEY, activity_per_order, lines_per_order, with_activity
 
 
 def _per_order(orders: DataFrame, lines: DataFrame, *columns: str) -> DataFrame:
@@ -139,3 +140,47 @@ def manager_brands(
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
         F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
     )
+
+
+def _share(delivered: Column, ordered: Column) -> Column:
+    """What part of a quantity was delivered, between 0 and 1."""
+    part = F.coalesce(delivered.cast("double"), F.lit(0.0)) / ordered.cast("double")
+    return F.when(ordered > 0, F.least(part, F.lit(1.0))).otherwise(0.0)
+
+
+def proportional_delivery(
+    orders: DataFrame, item_a: DataFrame, item_b: DataFrame, note: DataFrame
+) -> DataFrame:
+    """Ordered and proportionally delivered amounts per school.
+
+    ERP A tells the delivered quantity of every line. ERP B does not: an order counts with the
+    share of its quantity that its finance notes deliver, without cancelled notes.
+    """
+    delivered = F.col("line_total") * _share(F.col("delivered_quantity"), F.col("quantity"))
+    lines_a = item_a.groupBy(F.col("doc_entry").alias("order_key")).agg(
+        fn.exact_total("line_total").alias("amount"), fn.exact_total(delivered).alias("delivered")
+    )
+    lines_b = lines_per_order(
+        item_b.select(F.col("pedido_id").alias("order_key"), "line_total", "quantity")
+    )
+    notes = (
+        note.filter(~F.coalesce(F.col("delivery_status").isin(*st.FIN_CANCELLED), F.lit(False)))
+        .groupBy(F.col("pedido_id").alias("order_key"))
+        .agg(F.sum("quantity_delivered").alias("noted"))
+    )
+    delivered_b = fn.exact(F.col("amount").cast("double") * _share(F.col("noted"), F.col("quantity")))
+    lines_b = lines_b.join(notes, "order_key", "left").select(
+        "order_key", "amount", delivered_b.cast(fn.TOTAL).alias("delivered")
+    )
+    activity = activity_per_order({"erp_a": [lines_a], "erp_b": [lines_b]})
+    sold = orders.filter(~F.col("is_cancelled") & F.col("school_id").isNotNull())
+    per_order = (
+        with_activity(sold.select(*ORDER_KEY, "school_id"), activity)
+        .groupBy(*ORDER_KEY, "school_id")
+        .agg(F.sum("amount").alias("amount"), F.sum("delivered").alias("delivered"))
+    )
+    return per_order.groupBy("school_id").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
+        F.coalesce(F.sum("delivered").cast("double"), F.lit(0.0)).alias("delivered_amount"),
+    )

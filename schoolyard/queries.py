@@ -286,6 +286,12 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "network_rollup": lambda ws: extensions.network_rollup(
         ws.clean["crm_account"], ws.orders, ws.line_activity
     ),
+    "proportional_delivery": lambda ws: extensions.proportional_delivery(
+        ws.orders,
+        ws.clean["erp_a_sales_order_item"],
+        ws.clean["erp_b_item_pedido"],
+        ws.clean["fin_nota_fiscal"],
+    ),
     "manager_brands": lambda ws: extensions.manager_brands(
         ws.contracts, ws.orders, ws.line_activity, ws.reference_year
     ),
