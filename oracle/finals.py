@@ -281,6 +281,16 @@ LEFT JOIN (
   WHERE coalesce(delivery_status NOT IN ('devolvido', 'extraviado'), true) GROUP BY pedido_id
 ) noted ON source_system = 'erp_b' AND noted.source_order_id = per_order.source_order_id
 GROUP BY school_id""",
+        "manager_timeline": """
+SELECT school_id, CAST(row_number() OVER w AS INTEGER) AS version, account_manager_id,
+       CAST(start_date AS VARCHAR) AS valid_from,
+       CAST(lead(start_date) OVER w AS VARCHAR) AS valid_to,
+       lead(start_date) OVER w IS NULL AS is_current
+FROM (SELECT *, row_number() OVER v AS nth, lag(account_manager_id) OVER v AS before
+      FROM e_contract WHERE school_id IS NOT NULL AND start_date IS NOT NULL
+      WINDOW v AS (PARTITION BY school_id ORDER BY start_date, contract_id))
+WHERE nth = 1 OR account_manager_id IS DISTINCT FROM before
+WINDOW w AS (PARTITION BY school_id ORDER BY start_date, contract_id)""",
         "manager_brands": """
 SELECT account_manager_id, brand, count(DISTINCT signed_id) AS total_contracts,
        CAST(coalesce(sum(signed), 0) AS DOUBLE) AS contracted_amount,

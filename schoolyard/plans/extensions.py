@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from schoolyard import functions as fn
 from schoolyard.functions import status as st
@@ -184,3 +185,33 @@ def proportional_delivery(
         F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
         F.coalesce(F.sum("delivered").cast("double"), F.lit(0.0)).alias("delivered_amount"),
     )
+
+
+def manager_timeline(contracts: DataFrame) -> DataFrame:
+    """Versions of the manager of each school, from the starts of its contracts.
+
+    A version begins with the contract that changes the manager (no manager is a value too) and
+    ends when the next one begins; the last is open. Contracts that start on the same day
+    follow each other by id. A task sorts the contracts of one school.
+    """
+    dated = contracts.filter(F.col("school_id").isNotNull() & F.col("start_date").isNotNull())
+    by_start = Window.partitionBy("school_id").orderBy("start_date", "contract_id")
+    manager = F.col("account_manager_id")
+    seen = dated.select(
+        "school_id",
+        "account_manager_id",
+        "start_date",
+        "contract_id",
+        F.row_number().over(by_start).alias("nth"),
+        F.lag(manager).over(by_start).alias("before"),
+    )
+    begun = seen.filter((F.col("nth") == 1) | ~manager.eqNullSafe(F.col("before")))
+    until = F.lead("start_date").over(by_start)
+    return begun.select(
+        "school_id",
+        F.row_number().over(by_start).alias("version"),
+        "account_manager_id",
+        F.col("start_date").alias("valid_from"),
+        until.alias("valid_to"),
+        until.isNull().alias("is_current"),
+    )

@@ -292,6 +292,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         ws.clean["erp_b_item_pedido"],
         ws.clean["fin_nota_fiscal"],
     ),
+    "manager_timeline": lambda ws: extensions.manager_timeline(ws.contracts),
     "manager_brands": lambda ws: extensions.manager_brands(
         ws.contracts, ws.orders, ws.line_activity, ws.reference_year
     ),
