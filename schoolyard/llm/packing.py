@@ -11,9 +11,9 @@ one window more.
 
 from __future__ import annotations
 
-import base64
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +24,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from schoolyard.llm.tokens import SPLIT, byte_symbols
 
@@ -32,6 +33,10 @@ GROUP_WINDOWS = 128
 #: Share of a group's room that is filled on purpose, so that near-equal windows fit.
 FILLED = 0.996
 
+#: White-space characters in a row from which a text is left to the slower library.
+LONG_RUN = 50_000
+_RUN = re.compile(r"\s{%d}" % LONG_RUN)
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
@@ -57,6 +62,22 @@ def encoder(path: str) -> tuple[tiktoken.Encoding, frozenset[str]]:
     return encoding, frozenset(specials)
 
 
+@lru_cache(maxsize=2)
+def library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """Ids of a whole text, without added tokens; a special string inside it is its token."""
+    if len(text) > LONG_RUN and _RUN.search(text):
+        # more white space in a row than the fast encoder's splitting can look back over
+        return library(path).encode(text, add_special_tokens=False).ids
+    encoding, specials = encoder(path)
+    if any(s in text for s in specials):
+        return encoding.encode(text, allowed_special="all")
+    return encoding.encode_ordinary(text)
+
+
 def cuts(length: int, capacity: int) -> list[int]:
     """Piece lengths: full windows, then a half, a quarter and an eighth of one, then the rest."""
     full, tail = divmod(length, capacity)
@@ -122,15 +143,10 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def _cut(vocabulary: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, specials = encoder(vocabulary)
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = text.as_py() or ""
-                if any(s in text for s in specials):
-                    ids = encoding.encode(text, allowed_special="all")
-                else:
-                    ids = encoding.encode_ordinary(text)
+                ids = token_ids(vocabulary, text.as_py() or "")
                 ids.append(0)
                 raw = np.array(ids, dtype="<u4").tobytes()
                 start = 0

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from schoolyard.llm.packing import cuts, difference, encoder, pack, windows_of
+from schoolyard.llm.packing import cuts, difference, encoder, pack, token_ids, windows_of
 from schoolyard.llm.tokens import token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,12 @@ def test_ids_match_the_library_on_every_character(library):
         assert encoding.encode_ordinary(some) == library(some)
 
 
+@pytest.mark.parametrize("char", [" ", "\n", "a", "!", "\u3000"])
+def test_long_runs_of_a_character(library, char):
+    for text in (char * 300_000, f"a{char * 120_000} b", f"{char * 60_000}{SPECIAL}"):
+        assert token_ids(PATH, text) == library(text)
+
+
 def test_pieces_put_together_are_the_documents(spark, library):
     rows = corpus()
     got = pack(frame(spark, rows), PATH, capacity=256).collect()
