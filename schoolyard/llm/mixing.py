@@ -7,7 +7,10 @@ a random direction whose chances keep both expectations, until one fraction is 0
 words of the pair stay the same, so in the end only the last fraction of a source is rounded by
 itself, and the source misses its target by less than that one document.
 
-Documents are paired within chunks of a bounded number of units. What a chunk leaves is one
+The largest documents of a source come first, each paired with all smaller ones as a pool: it
+becomes whole, and the pool's common fraction takes what it gave or got. So no single document
+is left over that outweighs its source. The others are paired within chunks of a bounded number
+of units. What a chunk leaves is one
 unit with a fraction; these residuals are chunked and paired again, level by level, until a
 source has one residual left. Larger documents go first, so that the last ones are small.
 """
@@ -22,6 +25,8 @@ from schoolyard.llm.common import SPACES, durable, free_name
 
 #: Units that a chunk is expected to hold; a fold copies its list of settled units.
 CHUNK = 200
+#: Largest units of a source that are settled against the pool of its smaller ones.
+LARGEST = 64
 #: Repetitions of equal rows that one row unfolds into.
 REPEATS = 10_000
 #: A source gets at most this multiple of its size.
@@ -122,6 +127,49 @@ def _chunks(units: DataFrame, level: int, seed: int, chunk: int) -> DataFrame:
     return listed.select("source", "chunks", folded.alias("fold"))
 
 
+def _against_pool(units: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(settled, open): the largest units of each source made whole, and the others with the
+    fraction that this leaves them.
+
+    All open units of a source start with one fraction p of their words R. Taking a unit of s
+    words with chance p leaves the others (p R - s) / (R - s) of theirs, not taking it
+    p R / (R - s): on average p again. A unit for which one of these is no fraction, and all
+    smaller ones, stay open.
+    """
+    ranked = Window.partitionBy("source").orderBy(F.desc("size"), "doc_id", "rep")
+    top = units.withColumn("nth", F.row_number().over(ranked)).filter(F.col("nth") <= LARGEST)
+    unit = F.struct("nth", "doc_id", "rep", "size", "whole")
+    listed = top.groupBy("source").agg(F.sort_array(F.collect_list(unit)).alias("top"))
+    pools = units.groupBy("source").agg(
+        F.sum("size").cast("double").alias("pool"), F.first("part").alias("share")
+    )
+    pools = pools.select(F.col("source").alias("of"), "pool", "share")
+    sources = listed.join(pools, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+
+    def settle(state: Column, u: Column) -> Column:
+        p, rest = state["share"], state["pool"] - u["size"]
+        words = p * state["pool"]
+        fits = state["going"] & (rest > 0) & (u["size"] <= words) & (words <= rest)
+        takes = _uniform(F.lit(seed + 3), u["doc_id"], u["rep"], u["nth"]) < p
+        left = (words - F.when(takes, u["size"]).otherwise(0)) / rest
+        made = F.array(u.withField("whole", u["whole"] + takes.cast("int")))
+        return F.struct(
+            F.when(fits, F.least(F.lit(1.0), F.greatest(F.lit(0.0), left))).otherwise(p).alias("share"),
+            F.when(fits, rest).otherwise(state["pool"]).alias("pool"),
+            fits.alias("going"),
+            F.when(fits, F.concat(state["done"], made)).otherwise(state["done"]).alias("done"),
+        )
+
+    start = F.struct("share", "pool", F.lit(True).alias("going"), F.slice("top", 1, 0).alias("done"))
+    folded = durable(sources.select("source", F.aggregate("top", start, settle).alias("fold")))
+    settled = folded.select("source", F.inline("fold.done")).withColumn("part", F.lit(0.0)).drop("nth")
+    gone = settled.select(*[F.col(c).alias(f"gone_{c}") for c in ("source", "doc_id", "size", "rep")])
+    same = [F.col(c).eqNullSafe(F.col(f"gone_{c}")) for c in ("source", "doc_id", "size", "rep")]
+    shares = folded.select(F.col("source").alias("of"), F.col("fold.share").alias("share"))
+    rest = units.join(gone, same, "left_anti").join(shares, F.col("source").eqNullSafe(F.col("of")))
+    return settled, rest.withColumn("part", F.col("share")).drop("of", "share")
+
+
 def copies(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -170,8 +218,12 @@ def copies(
         F.floor("each").cast("int").alias("whole"),
         (F.col("each") - F.floor("each")).alias("part"),
     )
-    open_units = units.filter("part > 0 and size > 0")
-    done = [units.filter("part = 0 or size = 0")]
+    settled, rest = _against_pool(units.filter("part > 0 and size > 0"), seed)
+    rest = durable(rest)
+    open_units = rest.filter("part > 0 and part < 1")
+    # a pool that is used up or wholly taken needs no draw
+    whole = rest.filter("part <= 0 or part >= 1").withColumn("whole", F.col("whole") + F.col("part").cast("int"))
+    done = [units.filter("part = 0 or size = 0"), settled, whole]
     level = 0
     while True:
         folds = durable(_chunks(open_units, level, seed, chunk))

@@ -58,7 +58,8 @@ def test_mix_comes_near_its_targets(spark, rows):
         largest[r.source] = max(largest[r.source], r.size)
     for source in sizes:  # all but the rounding of one document is settled exactly
         assert abs(taken[source] - expected[source]) < largest[source] + 1e-6
-    assert abs(taken["hot"] - expected["hot"]) < 0.03 * expected["hot"]
+    for source in ("hot", "a", "B", "é", None, "z"):  # and it is not a large one
+        assert abs(taken[source] - expected[source]) < 0.03 * expected[source]
 
 
 def test_reruns_agree_however_partitioned(spark, rows):
@@ -72,7 +73,7 @@ def test_expected_copies_are_kept(spark):
     """Every document is taken as often as it is due, on average over seeds."""
     rows = [(i, "w " * (i + 1), "a" if i < 12 else "b") for i in range(24)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
-    total, runs = Counter(), 30
+    total, runs = Counter(), 12
     for seed in range(runs):
         for r in copies(docs, chunk=5, seed=seed * 10).collect():
             total[r.doc_id] += r.copies
@@ -80,7 +81,7 @@ def test_expected_copies_are_kept(spark):
             total[r.source, "due"] = due
     for source, ids in (("a", range(12)), ("b", range(12, 24))):
         mean = sum(total[i] for i in ids) / len(ids) / runs
-        assert mean == pytest.approx(total[source, "due"], abs=0.12)
+        assert mean == pytest.approx(total[source, "due"], abs=0.16)
 
 
 def test_mixed_documents_keep_their_columns(spark, rows):
