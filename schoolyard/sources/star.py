@@ -38,7 +38,7 @@ TICKET_STATES = {
     "error": "pending",
 }
 
-CODE_DIGITS = 12  # wide enough for every customer key; lpad would cut a longer one
+CODE_DIGITS = 12
 
 
 def _pick(options: tuple[str, ...], index: Column) -> Column:
@@ -53,8 +53,14 @@ def _tag(prefix: str, key: Column | str) -> Column:
     return F.concat(F.lit(prefix), _text(key))
 
 
+def _padded(key: Column | str, digits: int) -> Column:
+    """At least so many digits; a longer key keeps all of its own."""
+    text = _text(key)
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
 def _tax_id(key: Column | str) -> Column:
-    return F.lpad(_text(key), 14, "0")
+    return _padded(key, 14)
 
 
 def _split(d: Column) -> list[Column]:
@@ -89,7 +95,7 @@ def _since(key: str) -> Column:
 
 def _contract_number(key: Column, year: Column) -> Column:
     return F.concat(
-        F.lit("CT-"), _text(year), F.lit("-"), F.lpad(_text(key), CODE_DIGITS, "0")
+        F.lit("CT-"), _text(year), F.lit("-"), _padded(key, CODE_DIGITS)
     )
 
 
