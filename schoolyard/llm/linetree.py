@@ -7,8 +7,9 @@ template that recurs in many documents is boilerplate, and its lines are dropped
 
 Copies of one document repeat all their lines and are not boilerplate; other operators look for
 them. Exact copies therefore count once, and a template must recur in documents that differ
-otherwise: each text has a signature, the smallest and the largest of its leaves, and at least
-half of the texts with a template must have a signature of their own.
+otherwise: each text has a signature for a leaf, the smallest and the largest of its other
+leaves, and texts with the same signature count once. A text that has no other leaf counts by
+its text.
 """
 
 from __future__ import annotations
@@ -37,8 +38,6 @@ class TreeRules:
     #: least so many, and at least this many per million documents.
     min_texts: int = 10
     min_texts_per_million: int = 500
-    #: Percent of those texts that have a signature of their own.
-    own_percent: int = 50
     #: Percent of a template's tokens that are constant.
     constant_percent: int = 60
     #: Bits of the filter that spares lines of leaves which nothing recurs in; bounds its size.
@@ -70,37 +69,42 @@ def _lines_of(text: str | None, depth: int) -> list[tuple[int, int, list[bytes]]
     return found
 
 
-def _signature(lines: list[tuple[int, int, list[bytes]]]) -> int:
-    leaves = [leaf for _, leaf, _ in lines]
-    return _signed(xxhash.xxh64_intdigest(b"%d %d" % (min(leaves), max(leaves))))
+def _signatures(lines: list[tuple[int, int, list[bytes]]], key: int) -> dict[int, int]:
+    """For each leaf of a text, a hash of the smallest and the largest of the others."""
+    leaves = sorted({leaf for _, leaf, _ in lines})
+    if len(leaves) == 1:
+        return {leaves[0]: key}
+    found = {}
+    for leaf in leaves:
+        low, high = leaves[leaf == leaves[0]], leaves[-2 if leaf == leaves[-1] else -1]
+        found[leaf] = (low, high)
+    hashed = {ends: _signed(xxhash.xxh64_intdigest(b"%d %d" % ends)) for ends in set(found.values())}
+    return {leaf: hashed[ends] for leaf, ends in found.items()}
 
 
 def _leaves(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list[int]] = [[], [], []]
+            columns: list[list[int]] = [[], []]
             for key, text in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if lines := _lines_of(text.as_py(), depth):
-                    leaves = list({leaf for _, leaf, _ in lines})
-                    columns[0] += leaves
-                    columns[1] += [key] * len(leaves)
-                    columns[2] += [_signature(lines)] * len(leaves)
+                    signatures = _signatures(lines, key)
+                    columns[0] += signatures.keys()
+                    columns[1] += signatures.values()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["leaf", "text_key", "signature"]
+                [pa.array(c, pa.int64()) for c in columns], names=["leaf", "signature"]
             )
 
     return run
 
 
-def _recurring(seen: DataFrame, by: str, enough: int, rules: TreeRules) -> DataFrame:
-    """The values of `by` that recur in enough texts, with signatures of their own.
+def _recurring(seen: DataFrame, by: str, enough: int) -> DataFrame:
+    """The values of `by` that recur in enough texts, those with the same signature counted once.
 
-    `seen` has a row per value, text_key and signature.
+    `seen` has rows of a value and a signature.
     """
-    texts = seen.groupBy(by, "signature").agg(F.count(F.lit(1)).alias("texts"))
-    counted = texts.groupBy(by).agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("own"))
-    differing = F.col("own") * 100 >= F.col("texts") * rules.own_percent
-    return counted.filter((F.col("own") >= enough) & differing).select(by)
+    counted = seen.select(by, "signature").distinct().groupBy(by).agg(F.count(F.lit(1)).alias("own"))
+    return counted.filter(F.col("own") >= enough).select(by)
 
 
 LINE = "doc_id long, text_key long, number int, leaf long, line long, signature long, tokens array<int>"
@@ -119,10 +123,10 @@ def _lines(rules: TreeRules, wanted):
             for doc_id, key, text in rows:
                 lines = _lines_of(text.as_py(), rules.depth)
                 picked = [x for x in lines if bits[x[1] % rules.filter_bits]]
-                signature = _signature(lines) if picked else 0
+                signatures = _signatures(lines, key) if picked else {}
                 for number, leaf, tokens in picked:
                     line = _signed(xxhash.xxh64_intdigest(b" ".join(tokens)))
-                    for column, x in zip(columns, (doc_id, key, number, leaf, line, signature), strict=True):
+                    for column, x in zip(columns, (doc_id, key, number, leaf, line, signatures[leaf]), strict=True):
                         column.append(x)
                     hashes += [0 if t == VARIABLE else xxhash.xxh32_intdigest(t) | 1 for t in tokens]
                     ends.append(len(hashes))
@@ -161,8 +165,8 @@ def recurring_lines(
     lines whose template recurs. text_key is xxhash64 of the text."""
     enough = max(rules.min_texts, -(-docs.count() * rules.min_texts_per_million // 1_000_000))
     keyed = _keyed(docs, id_col, text_col)
-    leaves = keyed.mapInArrow(_leaves(rules.depth), "leaf long, text_key long, signature long")
-    hot = _recurring(leaves.distinct(), "leaf", enough, rules)
+    leaves = keyed.mapInArrow(_leaves(rules.depth), "leaf long, signature long")
+    hot = _recurring(leaves, "leaf", enough)
     wanted = docs.sparkSession.sparkContext.broadcast(_filter_of(hot, rules.filter_bits))
     lines = durable(keyed.mapInArrow(_lines(rules, wanted), LINE))
 
@@ -194,7 +198,7 @@ def recurring_lines(
         templates, ["leaf", "line"]
     )
     found = durable(found.select("doc_id", "text_key", "number", "template", "signature"))
-    drop = _recurring(found.select("template", "text_key", "signature").distinct(), "template", enough, rules)
+    drop = _recurring(found, "template", enough)
     return (
         found.join(drop, "template")
         .groupBy("doc_id", "text_key")

@@ -94,3 +94,27 @@ def test_share_of_all_documents(spark, share, cut):
     rows, _ = corpus()
     got = cleaned(spark, rows, TreeRules(min_texts_per_million=share))
     assert any(n for _, _, n in got) == cut
+
+
+def test_pages_that_are_mostly_template_lose_it(spark):
+    rng = random.Random(21)
+    shared = [prose(rng) for _ in range(10)]
+    rows = [(i, "\n".join([*shared[:5], prose(rng), prose(rng), *shared[5:]])) for i in range(200)]
+    rows += [(1000 + i, f"Your order {i} has shipped") for i in range(60)]
+    rows += [(2000 + i, "Only one text in copies") for i in range(60)]
+    for doc_id, text, cut in cleaned(spark, rows):
+        assert cut == (10 if doc_id < 1000 else 1 if doc_id < 2000 else 0)
+        assert doc_id >= 1000 or not set(shared) & set(text.split("\n"))
+
+
+def test_near_copies_do_not_keep_a_line_in_other_texts(spark):
+    rng = random.Random(22)
+    line = "All of this is served by our partners"
+    rows = [(i, "\n".join([*(prose(rng) for _ in range(4)), line])) for i in range(30)]
+    base = [prose(rng) for _ in range(8)]
+    for i in range(90):
+        near = [*base, line]
+        near[i % 8] = " ".join([*near[i % 8].split()[:5], rng.choice(WORDS), rng.choice(WORDS), *near[i % 8].split()[7:]])
+        rows.append((1000 + i, "\n".join(near)))
+    for doc_id, text, cut in cleaned(spark, rows):
+        assert cut == 1 and line not in text
