@@ -35,9 +35,10 @@ class TreeRules:
     #: Leading tokens on the path to a leaf, after the number of tokens.
     depth: int = 3
     #: Different texts in which a template recurs, and a constant token stands at its place: at
-    #: least so many, and at least this many per million documents.
+    #: least so many, whatever the size of the table. A share of the table can be asked for
+    #: beside it, but then rows that have nothing to do with a line decide whether it stays.
     min_texts: int = 10
-    min_texts_per_million: int = 500
+    min_texts_per_million: int = 0
     #: Percent of a template's tokens that are constant.
     constant_percent: int = 60
     #: Bits of the filter that spares lines of leaves which nothing recurs in; bounds its size.
@@ -163,7 +164,9 @@ def recurring_lines(
 ) -> DataFrame:
     """(doc_id, text_key, numbers): for each text with such lines, the places (from 0) of its
     lines whose template recurs. text_key is xxhash64 of the text."""
-    enough = max(rules.min_texts, -(-docs.count() * rules.min_texts_per_million // 1_000_000))
+    enough = rules.min_texts
+    if rules.min_texts_per_million:
+        enough = max(enough, -(-docs.count() * rules.min_texts_per_million // 1_000_000))
     keyed = _keyed(docs, id_col, text_col)
     leaves = keyed.mapInArrow(_leaves(rules.depth), "leaf long, signature long")
     hot = _recurring(leaves, "leaf", enough)

@@ -118,3 +118,11 @@ def test_near_copies_do_not_keep_a_line_in_other_texts(spark):
         rows.append((1000 + i, "\n".join(near)))
     for doc_id, text, cut in cleaned(spark, rows):
         assert cut == 1 and line not in text
+
+
+def test_unrelated_rows_do_not_keep_a_line(spark):
+    rng = random.Random(23)
+    rows = [(i, f"{prose(rng)}\nSent from the school office\n{prose(rng)}") for i in range(12)]
+    other = [(1000 + i, f"text {i}") for i in range(30_000)]
+    cut = {i: n for i, _, n in cleaned(spark, rows + other) if i < 1000}
+    assert cut == dict.fromkeys(range(12), 1)
