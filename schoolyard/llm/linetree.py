@@ -39,7 +39,8 @@ class TreeRules:
     #: beside it, but then rows that have nothing to do with a line decide whether it stays.
     min_texts: int = 10
     min_texts_per_million: int = 0
-    #: Percent of a template's tokens that are constant.
+    #: Percent of a template's words, the tokens without a digit, that are constant. Fields with
+    #: a digit are variable anyway and do not count; a template has at least one constant.
     constant_percent: int = 60
     #: Bits of the filter that spares lines of leaves which nothing recurs in; bounds its size.
     #: When more leaves recur than it has bits, it lets all lines pass, and results are the same.
@@ -192,9 +193,10 @@ def recurring_lines(
         F.sort_array(
             F.collect_list(F.when(F.col("constant").isNotNull(), F.struct("place", "token")))
         ).alias("constants"),
-        F.count(F.lit(1)).alias("tokens"),
+        F.count_if(F.col("token") != 0).alias("words"),
     )
-    templates = templates.filter(F.size("constants") * 100 >= F.col("tokens") * rules.constant_percent)
+    constant = F.size("constants")
+    templates = templates.filter((constant > 0) & (constant * 100 >= F.col("words") * rules.constant_percent))
     templates = templates.select("leaf", "line", F.xxhash64("leaf", "constants").alias("template"))
 
     found = lines.select("doc_id", "text_key", "number", "leaf", "line", "signature").join(

@@ -126,3 +126,17 @@ def test_unrelated_rows_do_not_keep_a_line(spark):
     other = [(1000 + i, f"text {i}") for i in range(30_000)]
     cut = {i: n for i, _, n in cleaned(spark, rows + other) if i < 1000}
     assert cut == dict.fromkeys(range(12), 1)
+
+
+def test_short_lines_with_numbers_go(spark):
+    rng = random.Random(24)
+    rows = []
+    for i in range(40):
+        short = [f"Page {i} of {i + 60}", f"Comments ({i})", f"Copyright {1990 + i}", f"{i} comments"]
+        numbers = [f"{i} {i * i}"]  # nothing constant
+        opening = [f"There is a {' '.join(rng.choice(WORDS) for _ in range(9))}"]  # 3 of 12 words
+        rows.append((i, "\n".join([prose(rng), *short, *numbers, *opening, prose(rng)])))
+    texts = dict(rows)
+    for doc_id, text, cut in cleaned(spark, rows):
+        lines = texts[doc_id].split("\n")
+        assert cut == 4 and text.split("\n") == [lines[0], *lines[5:]]
