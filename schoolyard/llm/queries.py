@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from schoolyard.llm.centroids import clusters
 from schoolyard.llm.chat import events_of, format_chats, read_back
+from schoolyard.llm.chosenpath import near_duplicates as similar_sets
 from schoolyard.llm.common import table
 from schoolyard.llm.language import identify, learn
 from schoolyard.llm.linetree import drop_recurring_lines
@@ -15,6 +17,7 @@ from schoolyard.llm.oracles import ORACLES
 from schoolyard.llm.packing import pack
 from schoolyard.llm.passages import repeated_passages
 from schoolyard.llm.quality import judged
+from schoolyard.llm.repair import repair_damaged
 from schoolyard.llm.simhash import near_duplicates
 from schoolyard.llm.tokens import token_counts
 from schoolyard.llm.topk import top_k
@@ -78,6 +81,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, learn(docs)).withColumn("held_out", held_out)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_sets(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, seed=3)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -89,4 +104,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
