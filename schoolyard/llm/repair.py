@@ -345,7 +345,8 @@ def repaired(rows: DataFrame) -> DataFrame:
         "conv_id", "turn", "initial", "ending", "repeats", "dropped", "digest", F.spark_partition_id().alias("part")
     )
     pieces = ranged.mapInArrow(_pieces, PIECE)
-    whole = pieces.groupBy("conv_id").agg(
+    # a number of its own: the search takes time that the size of the codes does not show
+    whole = pieces.repartition(parts, "conv_id").groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("part", *[c for c in _PIECE_NAMES if c not in ("conv_id", "part")])))
     )
     answers = durable(whole.mapInArrow(_solved, SOLVED))
