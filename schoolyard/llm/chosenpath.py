@@ -13,9 +13,10 @@ threshold; where none does, it is settled and leaves the node. The pivot itself
 The others branch on. A group of any number of near copies so costs one comparison each, and
 never meets in one task.
 
-A leaf first gives each document the smallest one it resembles; components follow, and only
-pairs that still lie in different components are made and verified after that. Every link
-reported is exact; the trees decide the recall.
+Each document is first verified with the one of a smaller number that it resembles most in any
+leaf; components follow, and only pairs that still lie in different components are made and
+verified after that, leaf by leaf, so that a set travels once for a leaf and not for a pair. Every
+link reported is exact; the trees decide the recall.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ ALIKE, IN_SIGHT = 102, 96
 HORIZON = 0.32
 #: Shingles whose minwise values are made at once; tasks that share a pivot's set.
 BLOCK, SALTS = 4096, 256
+#: Shingles of the sets that a task may hold at once for their pairs.
+TOGETHER = 1 << 22
 
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS = _RANDOM.integers(1, 1 << 32, TOKENS, np.uint32) | np.uint32(1)
@@ -157,12 +160,13 @@ def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _alike_in_leaves(percent: int, by_component: bool):
     """Sketch comparison of everything in the nodes of a partition sorted by node and id.
 
-    By component: all pairs (a, b) whose components differ. Otherwise a row (node, id, n, s1, s2,
-    first) for every member that resembles another; `first` is the smallest one, null for itself.
+    By component: all pairs (node, a, b) whose components differ. Otherwise a row (node, id, n, s1, s2,
+    differing, closest) for every member that resembles another; `closest` is the one with the
+    fewest differing bits among those of smaller id, null if there is none.
     """
 
-    def pairs_of(node, n, s1, s2, label) -> tuple[np.ndarray, np.ndarray]:
-        left, right = [], []
+    def pairs_of(node, n, s1, s2, label) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        left, right, bits = [], [], []
         at = np.arange(len(node))
         for step in range(1, len(node)):
             # whose node still goes on so many rows later; they only get fewer
@@ -177,22 +181,26 @@ def _alike_in_leaves(percent: int, by_component: bool):
                 fits &= label[at] != label[to]
             left.append(at[fits])
             right.append(to[fits])
+            bits.append(near[fits])
         none = [np.array([], np.int64)]
-        return np.concatenate(left or none), np.concatenate(right or none)
+        return tuple(np.concatenate(x or none) for x in (left, right, bits))
 
     def settled(rows: list[np.ndarray]) -> pa.RecordBatch:
         node, ident, n, s1, s2 = rows[:5]
-        a, b = pairs_of(node, n.astype(np.int64), s1.view(np.uint64), s2.view(np.uint64), rows[5] if by_component else None)
+        a, b, near = pairs_of(node, n.astype(np.int64), s1.view(np.uint64), s2.view(np.uint64), rows[5] if by_component else None)
         if by_component:
-            return pa.RecordBatch.from_arrays([pa.array(ident[a]), pa.array(ident[b])], names=["a", "b"])
-        first = np.full(len(node), len(node))
-        np.minimum.at(first, b, a)
-        seen = np.zeros(len(node), bool)
-        seen[a] = seen[b] = True
-        keep = np.flatnonzero(seen)
-        own = first[keep]
-        smallest = pa.array(ident[np.minimum(own, len(node) - 1)], mask=own == len(node))
-        return pa.RecordBatch.from_arrays([*[pa.array(c[keep]) for c in rows[:5]], smallest], names=[*MEMBERS, "first"])
+            columns = [pa.array(x) for x in (node[a], ident[a], ident[b])]
+            return pa.RecordBatch.from_arrays(columns, names=["node", "a", "b"])
+        order = np.lexsort((a, near, b))
+        has, at = np.unique(b[order], return_index=True)
+        closest, differing = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+        closest[has], differing[has] = ident[a[order][at]], near[order][at]
+        keep = np.union1d(a, b)
+        alone = ~np.isin(keep, has)
+        found = [pa.array(differing[keep], mask=alone), pa.array(closest[keep], mask=alone)]
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(c[keep]) for c in rows[:5]], *found], names=[*MEMBERS, "differing", "closest"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -214,7 +222,7 @@ def _alike_in_leaves(percent: int, by_component: bool):
 def _shingled(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingle_hashes(t.as_py(), width).view(np.int64) for t in batch.column(1)]
+            own = [np.sort(shingle_hashes(t.as_py(), width).view(np.int64)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["id", "shingles"]
             )
@@ -275,6 +283,46 @@ class Sets:
         return durable(joined.select("a", "b", "common", (F.col("both") - F.col("common")).alias("total")))
 
 
+    def compared_by_node(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, common, total) of pairs (node, a, b), where a node has a bounded number of sets.
+
+        A node whose sets together have more than `TOGETHER` shingles is cut in slots, and pairs
+        go by the slots of both.
+        """
+        key = ["node", "slot_a", "slot_b"]
+
+        def members(of: list[str]) -> DataFrame:
+            one = [placed.select(*of, F.col(c).alias("id")) for c in ("a", "b")]
+            return one[0].union(one[1]).distinct()
+
+        placed = pairs
+        weights = members(["node"]).join(self.distinct.select("id", "n"), "id").groupBy("node")
+        slots = durable(weights.agg(F.ceil(F.sum("n") / F.lit(TOGETHER)).alias("slots")))
+        slot = [F.pmod(F.xxhash64(c), "slots").alias(f"slot_{c}") for c in ("a", "b")]
+        placed = durable(pairs.join(slots, "node").select("node", *slot, "a", "b"))
+        to = [f"to_{c}" for c in key]
+        sent = members(key).join(self.full(pairs), "id")
+        sent = sent.select(*[F.col(c).alias(t) for c, t in zip(key, to, strict=True)], "id", "shingles")
+        found = placed.groupBy(*key).cogroup(sent.groupBy(*to)).applyInArrow(
+            _intersected, "a long, b long, common long, total long"
+        )
+        return durable(found)
+
+
+def _intersected(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    own = dict(zip(sets["id"].to_pylist(), (x.values.to_numpy() for x in sets["shingles"]), strict=True))
+    a, b = (pairs[c].to_pylist() for c in ("a", "b"))
+    common, total = [], []
+    for x, y in zip(a, b, strict=True):
+        small, large = sorted((own[x], own[y]), key=len)
+        at = np.searchsorted(large, small)
+        shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+        common.append(shared)
+        total.append(len(small) + len(large) - shared)
+    columns = [pa.array(c, pa.int64()) for c in (a, b, common, total)]
+    return pa.table(dict(zip(("a", "b", "common", "total"), columns, strict=True)))
+
+
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
     return compared.filter(100 * F.col("common") >= percent * F.col("total")).select("a", "b")
 
@@ -308,7 +356,7 @@ def set_links(sets: Sets, percent: int = 80, trees: int = TREES, leaf: int = LEA
         placed = members.join(nodes, F.col("node") == F.col("at")).drop("at")
         found = durable(
             _leaves(placed.filter(F.col("size") <= leaf).select(*MEMBERS)).mapInArrow(
-                _alike_in_leaves(percent, False), MEMBER + ", first long"
+                _alike_in_leaves(percent, False), MEMBER + ", differing long, closest long"
             )
         )
         alike = found if alike is None else alike.union(found)
@@ -343,17 +391,21 @@ def set_links(sets: Sets, percent: int = 80, trees: int = TREES, leaf: int = LEA
         grown = left.select(*MEMBERS).join(tokens, F.col("id") == F.col("of")).select(*MEMBERS, "tokens")
         members = durable(grown.mapInArrow(_grown, MEMBER))
         level += 1
-    first = sets.compared(alike.filter("first is not null").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
-    own = _linked(first, percent)
+    closest = alike.filter("closest is not null").groupBy("id").agg(
+        F.min(F.struct("differing", "closest")).alias("best")
+    )
+    own = _linked(sets.compared(closest.select(F.col("best.closest").alias("a"), F.col("id").alias("b"))), percent)
     links = durable(own if links is None else links.union(own))
     roots = components(links)
     labelled = alike.join(roots.select(F.col("node").alias("of"), "root"), F.col("id") == F.col("of"), "left")
     label = F.coalesce("root", "id").alias("label")
-    apart = _leaves(labelled.select(*MEMBERS, label)).mapInArrow(_alike_in_leaves(percent, True), "a long, b long")
-    rest = durable(apart.distinct())
+    apart = _leaves(labelled.select(*MEMBERS, label)).mapInArrow(
+        _alike_in_leaves(percent, True), "node long, a long, b long"
+    )
+    rest = durable(apart.groupBy("a", "b").agg(F.min("node").alias("node")))
     if rest.isEmpty():
         return links
-    return links.union(_linked(sets.compared(rest), percent))
+    return links.union(_linked(sets.compared_by_node(rest), percent))
 
 
 def near_duplicates(
