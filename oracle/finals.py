@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.checks import failures
+from oracle.entities import NONE, UNIT, double, units
 
 
 def _all(table: str, dates: str) -> str:
@@ -110,6 +111,12 @@ _MISSING_KEY = "md5(source_system || '-_dbt_utils_surrogate_key_null_')"
 _RATE = "CAST(sum(successful_deliveries) AS DOUBLE)"
 
 
+def _sum(x: str, rest: str = "", none: bool = False) -> str:
+    """The exact sum of doubles; `rest` may filter, and no value may count as 0."""
+    total = f"sum({units(x)}){rest}"
+    return double(f"coalesce({total}, 0)" if none else total)
+
+
 def _month_card(columns: str) -> str:
     return f"SELECT CAST(month AS VARCHAR) AS month, {columns} FROM r_monthly GROUP BY month"
 
@@ -122,7 +129,7 @@ FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_dat
 
 
 def finals() -> dict[str, str]:
-    money = "CAST(sum(CAST(ordered_amount AS DECIMAL(18,4))) AS DOUBLE)"
+    money = _sum("ordered_amount")
     counts = ", ".join(
         f"('{t}', ({_RAW_COUNTS[t]}), (SELECT count(*) FROM c_{t}))" for t in _CLEAN_DATES
     )
@@ -208,13 +215,13 @@ FROM x_record r JOIN e_school s USING (cnpj)""",
 SELECT school_id, CAST(month AS VARCHAR) AS month FROM e_school CROSS JOIN x_months""",
         "monthly_school_metrics": _all("r_monthly", "month"),
         "ytd_am_portfolio": "SELECT * FROM r_ytd",
-        "rfc_school_month_sales": """
+        "rfc_school_month_sales": f"""
 SELECT s.school_id, s.name AS school_name, ym AS year_month,
-       CAST(sum(amount) AS DOUBLE) AS ordered_amount,
-       CAST(sum(CASE WHEN drops > 0 THEN amount ELSE 0 END) AS DOUBLE) AS delivered_amount,
+       {double('sum(amount)')} AS ordered_amount,
+       {double('sum(CASE WHEN drops > 0 THEN amount ELSE 0 END)')} AS delivered_amount,
        count(*) AS order_count, CAST(sum(drops) AS BIGINT) AS delivered_order_count
 FROM (SELECT o.school_id, strftime(o.order_date, '%Y-%m-01') AS ym,
-             (SELECT sum(CAST(line_total AS DECIMAL(18,4))) FROM e_item i
+             (SELECT sum({units('line_total')}) FROM e_item i
               WHERE i.order_id = o.order_id) AS amount,
              (SELECT count(DISTINCT delivery_id) FROM e_delivery d WHERE d.order_id = o.order_id
               AND coalesce(d.delivery_status_normalized, d.status) = 'delivered') AS drops
@@ -223,9 +230,9 @@ FROM (SELECT o.school_id, strftime(o.order_date, '%Y-%m-01') AS ym,
         AND o.order_date >= (SELECT max(order_date) - INTERVAL 12 MONTH FROM e_order))
 JOIN e_school s USING (school_id)
 GROUP BY ALL""",
-        "rfc_am_ytd_sales": """
+        "rfc_am_ytd_sales": f"""
 SELECT m.account_manager_id, any_value(m.name) AS am_name, any_value(ref) AS year,
-       CAST(sum(CAST(line_total AS DECIMAL(18,4))) AS DOUBLE) AS ytd_ordered_amount,
+       {_sum('line_total')} AS ytd_ordered_amount,
        count(DISTINCT o.school_id) AS school_count, count(DISTINCT o.order_id) AS order_count
 FROM e_manager m
 JOIN e_contract c ON c.account_manager_id = m.account_manager_id AND NOT c.is_cancelled
@@ -233,44 +240,42 @@ JOIN e_order o ON o.contract_id = c.contract_id AND NOT o.is_cancelled
 JOIN x_year ON year(o.order_date) = ref
 JOIN e_item i ON i.order_id = o.order_id
 GROUP BY m.account_manager_id""",
-        "contract_reconciliation": """
+        "contract_reconciliation": f"""
 SELECT c.contract_id, any_value(c.contract_number) AS contract_number,
        any_value(c.school_id) AS school_id, any_value(c.grand_total) AS grand_total,
        count(DISTINCT o.order_id) AS total_orders,
-       CAST(coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS ordered_amount,
-       CAST(CAST(any_value(c.grand_total) AS DECIMAL(18,4))
-            - coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS open_amount
+       {_sum('i.line_total', none=True)} AS ordered_amount,
+       {double(units('any_value(c.grand_total)') + ' - coalesce(sum(' + units('i.line_total') + '), 0)')}
+           AS open_amount
 FROM e_contract c
 LEFT JOIN e_order o ON o.contract_id = c.contract_id AND NOT o.is_cancelled
 LEFT JOIN e_item i ON i.order_id = o.order_id
 GROUP BY c.contract_id""",
-        "network_rollup": """
+        "network_rollup": f"""
 SELECT m.parent_account_id AS network_id,
        (SELECT any_value(name) FROM c_crm_account n WHERE n.crm_account_id = m.parent_account_id)
            AS network_name,
        count(DISTINCT m.crm_account_id) AS members,
        count(DISTINCT o.school_id) AS ordering_members, count(DISTINCT o.order_id) AS total_orders,
-       CAST(coalesce(sum(CAST(i.line_total AS DECIMAL(18,4))), 0) AS DOUBLE) AS ordered_amount
+       {_sum('i.line_total', none=True)} AS ordered_amount
 FROM c_crm_account m
 LEFT JOIN e_order o ON o.school_id = m.crm_account_id AND NOT o.is_cancelled
 LEFT JOIN e_item i ON i.order_id = o.order_id
 WHERE NOT m.is_deleted AND m.parent_account_id IS NOT NULL
 GROUP BY m.parent_account_id""",
-        "proportional_delivery": """
+        "proportional_delivery": f"""
 SELECT school_id, count(*) AS total_orders,
-       CAST(coalesce(sum(amount), 0) AS DOUBLE) AS ordered_amount,
-       CAST(coalesce(sum(CASE WHEN source_system = 'erp_a' THEN by_line
-            WHEN quantity > 0 THEN CAST(CAST(amount AS DOUBLE)
-                 * least(CAST(coalesce(noted, 0) AS DOUBLE) / CAST(quantity AS DOUBLE), 1.0)
-                 AS DECIMAL(18,4)) ELSE 0 END), 0) AS DOUBLE) AS delivered_amount
+       {double('coalesce(sum(amount), 0)')} AS ordered_amount,
+       {double("coalesce(sum(CASE WHEN source_system = 'erp_a' THEN by_line WHEN quantity > 0 THEN "
+           + units('(' + double('amount') + ') * least(CAST(coalesce(noted, 0) AS DOUBLE) / ('
+                   + double('quantity') + '), 1.0)') + ' ELSE 0 END), 0)')} AS delivered_amount
 FROM (
   SELECT o.order_id, o.school_id, o.source_system,
          any_value(o.source_order_id) AS source_order_id,
-         sum(CAST(line_total AS DECIMAL(18,4))) AS amount,
-         sum(CAST(quantity AS DECIMAL(18,4))) AS quantity,
+         sum({units('line_total')}) AS amount, sum({units('quantity')}) AS quantity,
          sum(CAST(CASE WHEN quantity > 0
              THEN line_total * least(coalesce(delivered_quantity, 0) / quantity, 1.0) ELSE 0 END
-             AS DECIMAL(18,4))) AS by_line
+             * {UNIT} AS HUGEINT)) AS by_line
   FROM e_order o LEFT JOIN e_item i ON i.order_id = o.order_id
   WHERE NOT o.is_cancelled AND o.school_id IS NOT NULL
   GROUP BY o.order_id, o.school_id, o.source_system
@@ -291,18 +296,17 @@ FROM (SELECT *, row_number() OVER v AS nth, lag(account_manager_id) OVER v AS be
       WINDOW v AS (PARTITION BY school_id ORDER BY start_date, contract_id))
 WHERE nth = 1 OR account_manager_id IS DISTINCT FROM before
 WINDOW w AS (PARTITION BY school_id ORDER BY start_date, contract_id)""",
-        "manager_brands": """
+        "manager_brands": f"""
 SELECT account_manager_id, brand, count(DISTINCT signed_id) AS total_contracts,
-       CAST(coalesce(sum(signed), 0) AS DOUBLE) AS contracted_amount,
+       {double('coalesce(sum(signed), 0)')} AS contracted_amount,
        count(DISTINCT order_id) AS total_orders,
-       CAST(coalesce(sum(sold), 0) AS DOUBLE) AS ordered_amount
+       {double('coalesce(sum(sold), 0)')} AS ordered_amount
 FROM (SELECT account_manager_id, brand, contract_id AS signed_id,
-             CAST(grand_total AS DECIMAL(18,4)) AS signed, NULL AS order_id,
-             CAST(NULL AS DECIMAL(18,4)) AS sold
+             {units('grand_total')} AS signed, NULL AS order_id, {NONE} AS sold
       FROM e_contract, x_year WHERE NOT is_cancelled AND year(start_date) = ref
       UNION ALL
       SELECT o.account_manager_id, c.brand, NULL, NULL, o.order_id,
-             CAST(i.line_total AS DECIMAL(18,4))
+             {units('i.line_total')}
       FROM x_year, e_order o LEFT JOIN e_contract c ON c.contract_id = o.contract_id
       LEFT JOIN e_item i ON i.order_id = o.order_id
       WHERE NOT o.is_cancelled AND year(o.order_date) = ref)
@@ -333,14 +337,12 @@ FROM (VALUES {counts}) v(table_name, n_rows, n_clean_rows)""",
             "contract_number",
             {"erp_a": "c_erp_a_sales_order", "erp_b": "c_erp_b_pedido"},
         ),
-        "contract_overlap": """
+        "contract_overlap": f"""
 SELECT contract_number, count(DISTINCT source_order_id) FILTER (source_system = 'erp_a')
        AS erp_a_orders, count(DISTINCT source_order_id) FILTER (source_system = 'erp_b')
        AS erp_b_orders,
-       CAST(coalesce(sum(CAST(line_total AS DECIMAL(18,4))) FILTER (source_system = 'erp_a'), 0)
-            AS DOUBLE) AS erp_a_amount,
-       CAST(coalesce(sum(CAST(line_total AS DECIMAL(18,4))) FILTER (source_system = 'erp_b'), 0)
-            AS DOUBLE) AS erp_b_amount
+       {_sum('line_total', " FILTER (source_system = 'erp_a')", none=True)} AS erp_a_amount,
+       {_sum('line_total', " FILTER (source_system = 'erp_b')", none=True)} AS erp_b_amount
 FROM x_all_orders LEFT JOIN x_all_items USING (source_system, source_order_id)
 WHERE contract_number IS NOT NULL GROUP BY contract_number
 HAVING count(DISTINCT source_system) = 2""",
@@ -391,15 +393,24 @@ ORDER BY ordered_amount DESC, account_manager_id""",
         "card_top_schools": f"""
 SELECT school_id, school_name, {money} AS ordered_amount FROM r_monthly GROUP BY ALL
 ORDER BY ordered_amount DESC, school_id LIMIT 10""",
-        "school_trailing_year": """
+        "card_board": f"""
+SELECT CASE WHEN grouping(month) = 0 THEN 'month' WHEN grouping(state) = 0 THEN 'state'
+            WHEN grouping(school_id) = 0 THEN 'school' ELSE 'all' END AS card,
+       coalesce(CAST(month AS VARCHAR), state, school_id) AS key, {money} AS ordered_amount,
+       CAST(sum(active_orders) AS BIGINT) AS active_orders,
+       CAST(sum(cancelled_orders) AS BIGINT) AS cancelled_orders,
+       CAST(sum(quantity_delivered) AS BIGINT) AS quantity_delivered,
+       CAST(sum(total_tickets) AS BIGINT) AS total_tickets,
+       {_RATE} * 100 / nullif(sum(total_deliveries), 0) AS delivery_rate_pct
+FROM r_monthly GROUP BY GROUPING SETS ((month), (state), (school_id), ())
+HAVING count(*) > 0""",
+        "school_trailing_year": f"""
 SELECT m.school_id, CAST(m.month AS VARCHAR) AS month, any_value(m.ordered_amount)
        AS ordered_amount,
-       CAST(sum(CAST(p.ordered_amount AS DECIMAL(18,4)))
-            FILTER (p.month > m.month - INTERVAL 12 MONTH) AS DOUBLE) AS trailing_amount,
+       {_sum('p.ordered_amount', ' FILTER (p.month > m.month - INTERVAL 12 MONTH)')} AS trailing_amount,
        CAST(sum(p.total_orders) FILTER (p.month > m.month - INTERVAL 12 MONTH) AS BIGINT)
             AS trailing_orders,
-       CAST(sum(CAST(p.ordered_amount AS DECIMAL(18,4)))
-            FILTER (p.month = m.month - INTERVAL 12 MONTH) AS DOUBLE) AS year_ago_amount
+       {_sum('p.ordered_amount', ' FILTER (p.month = m.month - INTERVAL 12 MONTH)')} AS year_ago_amount
 FROM r_monthly m JOIN r_monthly p ON p.school_id = m.school_id
  AND p.month BETWEEN m.month - INTERVAL 12 MONTH AND m.month
 GROUP BY m.school_id, m.month""",

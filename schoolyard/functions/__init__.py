@@ -1,6 +1,17 @@
 """Column expressions; all of them stay inside the JVM."""
 
-from schoolyard.functions.amounts import TOTAL, exact, exact_sum, exact_total
+from schoolyard.functions.amounts import (
+    TOTAL,
+    as_double,
+    difference,
+    exact,
+    exact_sum,
+    exact_total,
+    merged,
+    merged_over,
+    rounded,
+    summed,
+)
 from schoolyard.functions.dates import (
     date_or_null,
     days_between,
@@ -14,8 +25,10 @@ from schoolyard.functions.status import map_status
 
 __all__ = [
     "TOTAL",
+    "as_double",
     "date_or_null",
     "days_between",
+    "difference",
     "digits",
     "elapsed_hours",
     "exact",
@@ -23,9 +36,13 @@ __all__ = [
     "exact_total",
     "in_year",
     "map_status",
+    "merged",
+    "merged_over",
     "month_of",
     "norm_code",
+    "rounded",
     "scoped",
+    "summed",
     "surrogate_key",
     "valid_digits",
     "valid_year",

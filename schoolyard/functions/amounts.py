@@ -1,38 +1,152 @@
-"""Sums whose result does not depend on the order of the rows.
+"""Sums of doubles that are exact, and so do not depend on the order of the rows.
 
-Adding doubles in a different order changes the last digits, and on a cluster
-the order changes with every shuffle, retry and partition count.  Amounts are
-therefore added as fixed-point numbers and returned as doubles at the end.
+Adding doubles rounds at every step, and on a cluster the order of the steps changes with
+every shuffle, retry and partition count.  Here a double is taken apart into 24-bit limbs of a
+fixed-point number with 62 bits before the point and 72 behind it.  Limbs are added up as
+longs, in any order and over any number of groupings, and the total is rounded to a double once,
+at the end: it is the double nearest to the true sum.
+
+* Values between 2^-20 and 2^62 in magnitude (1e-6 to 4e18) count with all their bits; smaller
+  ones are cut at 2^-72 (2e-22).
+* NaN and infinities make the total what IEEE addition makes of them: NaN beside anything is NaN,
+  infinity of one sign is that infinity, of both NaN.  Finite values from 2^62 on are added as
+  plain doubles beside the limbs.
+* No value at all gives NULL.
+* A total may hold 2^38 values; beyond that the sum fails rather than wraps.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BITS = 24
+_MASK = (1 << BITS) - 1
+#: Limbs from the highest, which carries the sign, to the lowest; units are 2^48 to 2^-72.
+LIMBS = ("w2", "w1", "w0", "p1", "p2", "p3")
+#: The type of a total that is still to be added to.
+TOTAL = "struct<" + ",".join(f"{n}:bigint" for n in LIMBS) + ",beyond:double>"
+_INSIDE = float(1 << 62)
+
+
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _limbs_of(c: Column) -> list[Column]:
+    """The limbs of a double; every step is exact, as it cuts bits off or scales by two's powers."""
+    value = F.when(F.abs(c) < _INSIDE, c)
+    whole = value.cast("bigint")
+    scaled = (value - whole.cast("double")) * F.lit(float(1 << 48))
+    upper = scaled.cast("bigint")
+    lower = (scaled - upper.cast("double")) * F.lit(float(1 << BITS))
+
+    def low(part: Column) -> Column:
+        return part.bitwiseAND(F.lit(_MASK))
 
-MONEY = "decimal(18,4)"
-TOTAL = "decimal(28,4)"
+    return [
+        F.shiftright(whole, 2 * BITS),
+        low(F.shiftright(whole, BITS)),
+        low(whole),
+        F.shiftright(upper, BITS),
+        low(upper),
+        lower.cast("bigint"),
+    ]
+
+
+def _beyond(c: Column) -> Column:
+    return F.when(F.abs(c) >= _INSIDE, c)  # NaN is larger than any number
+
+
+def _packed(limbs: list[Column], beyond: Column) -> Column:
+    none = F.lit(0).cast("bigint")
+    named = [F.coalesce(c, none).alias(n) for c, n in zip(limbs, LIMBS, strict=True)]
+    return F.struct(*named, beyond.cast("double").alias("beyond"))
+
+
+def _fields(total: Column) -> list[Column]:
+    return [total[n] for n in LIMBS]
 
 
 def exact(c: Column | str) -> Column:
-    """Fixed-point form of a double, for sums over few rows."""
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+    """One double as a total."""
+    c = _column(c).cast("double")
+    return F.when(c.isNotNull(), _packed(_limbs_of(c), _beyond(c)))
 
 
 def exact_total(c: Column | str) -> Column:
-    """Sum of a double to four decimals, as fixed point.
+    """Aggregate: the total of doubles, to be added to or rounded."""
+    c = _column(c).cast("double")
+    limbs = [F.sum(limb) for limb in _limbs_of(c)]
+    return F.when(F.count(c) > 0, _packed(limbs, F.sum(_beyond(c))))
+
 
-    Whole units and ten-thousandths are added up in a long each, which costs no
-    more than adding doubles; converting every row to a decimal would.
-    """
-    c = F.col(c) if isinstance(c, str) else c
-    units = F.floor(c)
-    rest = F.floor((c - units) * 10_000 + 0.5)
-    whole = F.sum(units).cast("decimal(20,0)")
-    return (whole + F.sum(rest).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(TOTAL)
+def merged(total: Column | str) -> Column:
+    """Aggregate: totals added up."""
+    total = _column(total)
+    limbs = [F.sum(limb) for limb in _fields(total)]
+    return F.when(F.count(total) > 0, _packed(limbs, F.sum(total["beyond"])))
+
+
+def merged_over(total: Column, window) -> Column:
+    """Totals added up over a window."""
+    limbs = [F.sum(limb).over(window) for limb in _fields(total)]
+    beyond = F.sum(total["beyond"]).over(window)
+    return F.when(F.count(total).over(window) > 0, _packed(limbs, beyond))
+
+
+def difference(a: Column, b: Column) -> Column:
+    """a - b, where a missing b counts as nothing."""
+    limbs = [x - F.coalesce(y, F.lit(0).cast("bigint")) for x, y in zip(_fields(a), _fields(b), strict=True)]
+    none = F.lit(0.0)
+    beyond = F.coalesce(a["beyond"], none) - F.coalesce(b["beyond"], none)
+    any_beyond = a["beyond"].isNotNull() | b["beyond"].isNotNull()
+    return F.when(a.isNotNull(), _packed(limbs, F.when(any_beyond, beyond)))
+
+
+def rounded(total: Column | str) -> Column:
+    """The double nearest to a total, ties to even; NULL stays."""
+    total = _column(total)
+    wide = "decimal(38,0)"
+
+    def joined(parts: list[Column]) -> Column:
+        number = parts[0].cast(wide)
+        for part in parts[1:]:
+            number = (number * F.lit(Decimal(1 << BITS)) + part).cast(wide)
+        return number
+
+    def times(number: Column, bits: int) -> Column:
+        return (number * F.lit(Decimal(1 << bits))).cast(wide)
+
+    # A decimal of whole numbers becomes the nearest double.  Up to 2^53 all bits fit in one; of
+    # larger totals 20 bits behind the point do, and one more that tells whether any is left.
+    whole, part = joined(_fields(total)[:3]), joined(_fields(total)[3:])
+    cut = F.lit(Decimal(1 << 52))
+    below = part % cut
+    upper = ((part - below) / cut).cast(wide)
+    left = F.when(below > 0, 1).when(below < 0, -1).otherwise(0)
+    number = F.when(
+        F.abs(whole) < F.lit(Decimal(1 << 53)),
+        (times(whole, 72) + part).cast(wide).cast("double") * F.lit(2.0**-72),
+    ).otherwise((times(whole, 21) + times(upper, 1) + left).cast(wide).cast("double") * F.lit(2.0**-21))
+    return F.when(total["beyond"].isNull(), number).otherwise(number + total["beyond"])
 
 
 def exact_sum(c: Column | str) -> Column:
-    return exact_total(c).cast("double")
+    """Aggregate: the double nearest to the sum of doubles."""
+    return rounded(exact_total(c))
+
+
+def summed(df: DataFrame, column: str, where: Column | None = None) -> Column:
+    """Aggregate: the sum of a column that holds totals or plain numbers."""
+    c = F.col(column) if where is None else F.when(where, F.col(column))
+    return merged(c) if isinstance(df.schema[column].dataType, T.StructType) else F.sum(c)
+
+
+def as_double(df: DataFrame, column: str) -> Column:
+    """A column that holds totals or plain numbers, as doubles."""
+    is_total = isinstance(df.schema[column].dataType, T.StructType)
+    return rounded(column) if is_total else F.col(column).cast("double")

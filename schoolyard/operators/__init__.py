@@ -4,6 +4,7 @@ from schoolyard.operators.calendar import dense_months, month_list
 from schoolyard.operators.checks import Check, run_checks
 from schoolyard.operators.conform import conform_union
 from schoolyard.operators.link import Lookup, link
+from schoolyard.operators.reduction import reduced
 from schoolyard.operators.resolve import directory, resolve_entity
 from schoolyard.operators.text import joined_tags
 
@@ -16,6 +17,7 @@ __all__ = [
     "joined_tags",
     "link",
     "month_list",
+    "reduced",
     "resolve_entity",
     "run_checks",
 ]

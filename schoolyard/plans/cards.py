@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
-from schoolyard.functions import exact
 
 
 def _total(c: str) -> Column:
-    return F.sum(exact(c)).cast("double")
+    return fn.exact_sum(c)
 
 
 def _rate(times: int = 1) -> Column:
@@ -21,6 +21,18 @@ def _rate(times: int = 1) -> Column:
     return F.when(total > 0, F.sum("successful_deliveries").cast("double") * times / total)
 
 
+def _listed(months: DataFrame, found: DataFrame, zeros: Sequence[str]) -> DataFrame:
+    """Every month of the list (a row each) with what was found in it; sums are 0 otherwise."""
+    every = months.join(found, "month", "left")
+    return every.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0).cast(found.schema[c].dataType)) for c in zeros}
+    )
+
+
+# The cards add up school-month facts, of which there are far fewer than schools x months: a
+# school and month without any would only add zeros.
+
+
 def kpis(ytd: DataFrame) -> DataFrame:
     """Ordered amount, schools served (summed over managers) and contracts."""
     return ytd.agg(
@@ -30,37 +42,50 @@ def kpis(ytd: DataFrame) -> DataFrame:
     )
 
 
-def delivery_rate(monthly: DataFrame) -> DataFrame:
-    return monthly.agg(_rate().alias("delivery_success_rate"))
+def delivery_rate(facts: DataFrame) -> DataFrame:
+    return facts.agg(_rate().alias("delivery_success_rate"))
 
 
-def monthly_amount(monthly: DataFrame) -> DataFrame:
-    return monthly.groupBy("month").agg(_total("ordered_amount").alias("ordered_amount"))
+def monthly_amount(facts: DataFrame, months: DataFrame) -> DataFrame:
+    found = facts.groupBy("month").agg(_total("ordered_amount").alias("ordered_amount"))
+    return _listed(months, found, ["ordered_amount"])
 
 
-def monthly_orders(monthly: DataFrame) -> DataFrame:
-    return monthly.groupBy("month").agg(
-        F.sum("active_orders").alias("active_orders"),
-        F.sum("cancelled_orders").alias("cancelled_orders"),
-    )
+def monthly_orders(facts: DataFrame, months: DataFrame) -> DataFrame:
+    counts = ["active_orders", "cancelled_orders"]
+    found = facts.groupBy("month").agg(*[F.sum(c).alias(c) for c in counts])
+    return _listed(months, found, counts)
+
+
+def monthly_delivery_rate(facts: DataFrame, months: DataFrame) -> DataFrame:
+    return _listed(months, facts.groupBy("month").agg(_rate(100).alias("delivery_rate_pct")), [])
 
 
-def monthly_delivery_rate(monthly: DataFrame) -> DataFrame:
-    return monthly.groupBy("month").agg(_rate(100).alias("delivery_rate_pct"))
+def monthly_tickets(facts: DataFrame, months: DataFrame) -> DataFrame:
+    found = facts.groupBy("month").agg(F.sum("total_tickets").alias("total_tickets"))
+    return _listed(months, found, ["total_tickets"])
 
 
-def state_volume(monthly: DataFrame) -> DataFrame:
+def _per_school(
+    facts: DataFrame, schools: DataFrame, months: DataFrame, total: Column, columns: Sequence[str]
+) -> DataFrame:
+    """Every school with a total over its facts, 0 without any; none if there is no month."""
+    found = facts.groupBy("school_id").agg(total.alias("total"))
+    listed = schools.filter(F.size(months.scalar()) > 0).select("school_id", *columns)
+    filled = F.coalesce("total", F.lit(0).cast(found.schema["total"].dataType))
+    return listed.join(found, "school_id", "left").withColumn("total", filled)
+
+
+def state_volume(facts: DataFrame, schools: DataFrame, months: DataFrame) -> DataFrame:
+    """Units delivered by the state of the school; ``months`` is the row of active months."""
+    sums = _per_school(facts, schools, months, F.sum("quantity_delivered"), ["state"])
     return (
-        monthly.groupBy("state")
-        .agg(F.sum("quantity_delivered").alias("quantity_delivered"))
+        sums.groupBy("state")
+        .agg(F.sum("total").alias("quantity_delivered"))
         .orderBy(F.desc("quantity_delivered"), "state")
     )
 
 
-def monthly_tickets(monthly: DataFrame) -> DataFrame:
-    return monthly.groupBy("month").agg(F.sum("total_tickets").alias("total_tickets"))
-
-
 def resolution_time(tickets: DataFrame, year: DataFrame) -> DataFrame:
     """Mean hours to resolve over the tickets of the reference year."""
     hours = fn.elapsed_hours("created_at", "solved_at")
@@ -87,33 +112,145 @@ def manager_ranking(ytd: DataFrame) -> DataFrame:
     )
 
 
-def top_schools(monthly: DataFrame, n: int = 10) -> DataFrame:
+def top_schools(facts: DataFrame, schools: DataFrame, months: DataFrame, n: int = 10) -> DataFrame:
     """Schools with the highest accumulated amount; ties go to the lower id."""
+    names = schools.withColumnRenamed("name", "school_name")
     return (
-        monthly.groupBy("school_id", "school_name")
-        .agg(_total("ordered_amount").alias("ordered_amount"))
+        _per_school(facts, names, months, _total("ordered_amount"), ["school_name"])
+        .select("school_id", "school_name", F.col("total").alias("ordered_amount"))
         .orderBy(F.desc("ordered_amount"), "school_id")
         .limit(n)
     )
 
 
-def trailing_year(monthly: DataFrame) -> DataFrame:
+def board(facts: DataFrame, schools: DataFrame, months: DataFrame) -> DataFrame:
+    """The measures of all cards in one pass: by month, by state, by school, and in total.
+
+    Facts meet the states of their schools once and are grouped by each set of keys. Every
+    school and every month adds a row without measures, so that none is missing.
+    """
+    sums = ["active_orders", "cancelled_orders", "quantity_delivered", "total_tickets"]
+    kinds = {f.name: f.dataType for f in facts.schema}
+    measures = ["ordered_amount", *sums, "total_deliveries", "successful_deliveries"]
+
+    def bare(school: Column, state: Column, month: Column) -> list[Column]:
+        none = [F.lit(None).cast(kinds[m]).alias(m) for m in measures]
+        return [school.alias("school_id"), state.alias("state"), month.alias("month"), *none]
+
+    null = F.lit(None)
+    any_month = F.size(months.scalar()) > 0
+    places = schools.filter(any_month).select("school_id", "state")
+    rows = (
+        facts.select("school_id", "month", *measures)
+        .join(places, "school_id")
+        .select("school_id", "state", "month", *measures)
+        .unionByName(places.select(*bare(F.col("school_id"), F.col("state"), null.cast("date"))))
+        .unionByName(
+            months.select(F.explode("months").alias("month"))
+            .filter(places.limit(1).agg(F.count(F.lit(1))).scalar() > 0)
+            .select(*bare(null.cast("string"), null.cast("string"), F.col("month")))
+        )
+    )
+    card = F.when(F.grouping("month") == 0, "month").when(F.grouping("state") == 0, "state").when(
+        F.grouping("school_id") == 0, "school"
+    )
+    grouped = rows.groupingSets([["month"], ["state"], ["school_id"], []], "month", "state", "school_id").agg(
+        F.coalesce(card, F.lit("all")).alias("card"),
+        F.coalesce(F.col("month").cast("string"), "state", "school_id").alias("key"),
+        F.coalesce(_total("ordered_amount"), F.lit(0.0)).alias("ordered_amount"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+        _rate(100).alias("delivery_rate_pct"),
+        F.count(F.when(F.col("school_id").isNotNull(), 1)).alias("_schools"),
+        F.count("month").alias("_months"),
+    )
+    # rows without a month or without a school belong to no such group
+    own = F.when(F.col("card") == "month", F.col("key").isNotNull()).when(
+        F.col("card") == "school", F.col("key").isNotNull()
+    ).otherwise(F.col("_schools") > 0)
+    return grouped.filter(own).select("card", "key", "ordered_amount", *sums, "delivery_rate_pct")
+
+
+def _number(date: Column) -> Column:
+    """Months since the year 0."""
+    return F.year(date) * 12 + F.month(date)
+
+
+def trailing_year(facts: DataFrame, schools: DataFrame, months: DataFrame) -> DataFrame:
     """Each school's evolution: the last 12 months up to each month, and a year before.
 
-    Months are counted on the calendar, so a month in which nobody did anything
-    does not stretch the window.  A window holds one row per month of one school.
+    The trailing sum of a school changes where a month with facts enters the window and where it
+    leaves it a year later. These events, at most two for each fact, are put in order by school;
+    each gives the sums that hold until the next. Only then is a row made for every listed month
+    an event covers, so what is shuffled and sorted follows the facts and not schools x months.
+    Months are counted on the calendar: one in which nobody did anything does not stretch a year.
     """
-    number = F.year("month") * 12 + F.month("month")
-    school = Window.partitionBy("school_id").orderBy(number)
-    year = school.rangeBetween(-11, 0)
-    amount = exact("ordered_amount")
-    return monthly.select(
+    number = _number(F.col("month"))
+    fact = facts.select(
+        "school_id", number.alias("no"), fn.exact("ordered_amount").alias("amount"), "total_orders"
+    )
+    nothing = [F.lit(None).cast(fn.TOTAL).alias("amount"), F.lit(None).cast("bigint").alias("total_orders")]
+    # the list and, for each month of the calendar it spans and a year on, how many come before
+    first, last = _number(F.get("months", F.lit(0))), _number(F.get("months", F.size("months") - 1))
+    numbers = F.transform("months", _number)
+    before = F.transform(
+        F.sequence(first - 12, last + 13), lambda n: F.size(F.filter(numbers, lambda m: m < n))
+    )
+    calendar = (
+        months.filter(F.size("months") > 0)
+        .select(F.struct("months", (first - 12).alias("start"), before.alias("before")).alias("c"))
+        .scalar()
+    )
+    events = (
+        fact.withColumn("known", F.lit(False))
+        .unionByName(fact.select("school_id", (F.col("no") + 12).alias("no"), *nothing, F.lit(False).alias("known")))
+        .unionByName(
+            schools.select(
+                "school_id", (calendar["start"] + 12).alias("no"), *nothing, F.lit(True).alias("known")
+            ).filter("no IS NOT NULL")
+        )
+    )
+    # a school and month have one fact at most, so the sums take it as it is
+    settled = events.groupBy("school_id", "no").agg(
+        fn.merged("amount").alias("amount"),
+        F.sum("total_orders").alias("orders"),
+        F.bool_or("known").alias("known"),
+    )
+    school = Window.partitionBy("school_id").orderBy("no")
+    year, year_ago = school.rangeBetween(-11, 0), school.rangeBetween(-12, -12)
+    swept = settled.select(
+        "school_id",
+        "no",
+        fn.rounded("amount").alias("own"),
+        fn.rounded(fn.merged_over(F.col("amount"), year)).alias("trailing"),
+        F.sum("orders").over(year).alias("trailing_orders"),
+        fn.rounded(fn.merged_over(F.col("amount"), year_ago)).alias("year_ago"),
+        F.lead("no").over(school).alias("until"),
+        F.max("known").over(Window.partitionBy("school_id")).alias("known"),
+    ).filter("known")
+
+    def place(no: Column) -> Column:
+        """How many listed months come before a calendar month."""
+        return F.get(calendar["before"], no - calendar["start"])
+
+    size = F.size(calendar["months"])
+    begin, end = place(F.col("no")), F.coalesce(place(F.col("until")), size)
+    dense = swept.filter(begin < end).withColumn(
+        "month", F.explode(F.slice(calendar["months"], begin + 1, end - begin))
+    )
+    here = _number(F.col("month")) == F.col("no")
+    back = _number(F.col("month")) - 12
+    listed_then = place(back + 1) > place(back)
+
+    def or_none(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0.0))
+
+    return dense.select(
         "school_id",
         "month",
-        "ordered_amount",
-        F.sum(amount).over(year).cast("double").alias("trailing_amount"),
-        F.sum("total_orders").over(year).alias("trailing_orders"),
-        F.sum(amount).over(school.rangeBetween(-12, -12)).cast("double").alias("year_ago_amount"),
+        F.when(here, or_none("own")).otherwise(0.0).alias("ordered_amount"),
+        or_none("trailing").alias("trailing_amount"),
+        F.coalesce("trailing_orders", F.lit(0)).alias("trailing_orders"),
+        F.when(listed_then, F.when(here, or_none("year_ago")).otherwise(0.0)).alias("year_ago_amount"),
     )
 
 
@@ -137,12 +274,12 @@ def filter_metrics(
     return out
 
 
-def trend(monthly: DataFrame) -> DataFrame:
+def trend(facts: DataFrame, months: DataFrame) -> DataFrame:
     """The measures of the trend cards, month by month."""
-    return monthly.groupBy("month").agg(
+    counts = ["active_orders", "cancelled_orders", "total_tickets"]
+    found = facts.groupBy("month").agg(
         _total("ordered_amount").alias("ordered_amount"),
-        F.sum("active_orders").alias("active_orders"),
-        F.sum("cancelled_orders").alias("cancelled_orders"),
+        *[F.sum(c).alias(c) for c in counts],
         _rate(100).alias("delivery_rate_pct"),
-        F.sum("total_tickets").alias("total_tickets"),
     )
+    return _listed(months, found, ["ordered_amount", *counts])

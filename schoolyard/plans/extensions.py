@@ -12,13 +12,17 @@ from schoolyard.operators import Lookup, link
 from schoolyard.plans.report import ORDER_KEY, activity_per_order, lines_per_order, with_activity
 
 
+def _or_none(total: Column | str) -> Column:
+    return F.coalesce(fn.rounded(total), F.lit(0.0))
+
+
 def _per_order(orders: DataFrame, lines: DataFrame, *columns: str) -> DataFrame:
     """Orders that are not cancelled with the sum of their lines; a repeated order is one."""
     confirmed = orders.filter(~F.col("is_cancelled")).select(*ORDER_KEY, *columns)
     return (
         with_activity(confirmed, lines)
         .groupBy(*ORDER_KEY, *columns)
-        .agg(F.sum("amount").alias("amount"))
+        .agg(fn.merged("amount").alias("amount"))
     )
 
 
@@ -30,7 +34,7 @@ def contract_reconciliation(
         orders.filter(F.col("contract_id").isNotNull()), lines, "contract_id"
     )
     ordered = per_order.groupBy("contract_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount")
+        F.count(F.lit(1)).alias("orders"), fn.merged("amount").alias("amount")
     )
     found = link(
         contracts.select("contract_id", "contract_number", "school_id", "grand_total"),
@@ -43,15 +47,14 @@ def contract_reconciliation(
         ),
         row_id=["contract_id"],
     )
-    amount = F.coalesce(F.col("amount").cast(fn.TOTAL), F.lit(0).cast(fn.TOTAL))
     return found.select(
         "contract_id",
         "contract_number",
         "school_id",
         "grand_total",
         F.coalesce("orders", F.lit(0)).alias("total_orders"),
-        amount.cast("double").alias("ordered_amount"),
-        (fn.exact("grand_total") - amount).cast("double").alias("open_amount"),
+        _or_none("amount").alias("ordered_amount"),
+        fn.rounded(fn.difference(fn.exact("grand_total"), F.col("amount"))).alias("open_amount"),
     )
 
 
@@ -63,7 +66,7 @@ def network_rollup(accounts: DataFrame, orders: DataFrame, lines: DataFrame) ->
     """
     per_order = _per_order(orders.filter(F.col("school_id").isNotNull()), lines, "school_id")
     per_school = per_order.groupBy("school_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount")
+        F.count(F.lit(1)).alias("orders"), fn.merged("amount").alias("amount")
     )
     members = accounts.filter(~F.col("is_deleted") & F.col("parent_account_id").isNotNull())
     with_orders = link(
@@ -81,7 +84,7 @@ def network_rollup(accounts: DataFrame, orders: DataFrame, lines: DataFrame) ->
         F.count(F.lit(1)).alias("members"),
         F.count("orders").alias("ordering_members"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
-        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
+        _or_none(fn.merged("amount")).alias("ordered_amount"),
     )
     named = link(
         networks,
@@ -131,15 +134,15 @@ def manager_brands(
         row_id=ORDER_KEY,
     )
     ordered = branded.groupBy("account_manager_id", "brand").agg(
-        F.count(F.lit(1)).alias("total_orders"), F.sum("amount").alias("amount")
+        F.count(F.lit(1)).alias("total_orders"), fn.merged("amount").alias("amount")
     )
     # what was signed and what was ordered, one below the other and added up
     both = signed.unionByName(ordered, allowMissingColumns=True)
     return both.groupBy("account_manager_id", "brand").agg(
         F.coalesce(F.sum("total_contracts"), F.lit(0)).alias("total_contracts"),
-        F.coalesce(F.sum("signed").cast("double"), F.lit(0.0)).alias("contracted_amount"),
+        _or_none(fn.merged("signed")).alias("contracted_amount"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
-        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
+        _or_none(fn.merged("amount")).alias("ordered_amount"),
     )
 
 
@@ -169,21 +172,21 @@ def proportional_delivery(
         .groupBy(F.col("pedido_id").alias("order_key"))
         .agg(F.sum("quantity_delivered").alias("noted"))
     )
-    delivered_b = fn.exact(F.col("amount").cast("double") * _share(F.col("noted"), F.col("quantity")))
+    delivered_b = fn.exact(fn.rounded("amount") * _share(F.col("noted"), fn.rounded("quantity")))
     lines_b = lines_b.join(notes, "order_key", "left").select(
-        "order_key", "amount", delivered_b.cast(fn.TOTAL).alias("delivered")
+        "order_key", "amount", delivered_b.alias("delivered")
     )
     activity = activity_per_order({"erp_a": [lines_a], "erp_b": [lines_b]})
     sold = orders.filter(~F.col("is_cancelled") & F.col("school_id").isNotNull())
     per_order = (
         with_activity(sold.select(*ORDER_KEY, "school_id"), activity)
         .groupBy(*ORDER_KEY, "school_id")
-        .agg(F.sum("amount").alias("amount"), F.sum("delivered").alias("delivered"))
+        .agg(fn.merged("amount").alias("amount"), fn.merged("delivered").alias("delivered"))
     )
     return per_order.groupBy("school_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("ordered_amount"),
-        F.coalesce(F.sum("delivered").cast("double"), F.lit(0.0)).alias("delivered_amount"),
+        _or_none(fn.merged("amount")).alias("ordered_amount"),
+        _or_none(fn.merged("delivered")).alias("delivered_amount"),
     )
 
 

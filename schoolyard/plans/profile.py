@@ -14,6 +14,7 @@ from schoolyard.functions.dates import FIRST_YEAR, LAST_YEAR
 from schoolyard.plans.report import (
     BySystem,
     activity_per_order,
+    facts_of,
     lines_per_order,
     owner_totals,
     with_activity,
@@ -66,14 +67,14 @@ def contract_overlap(orders: DataFrame, lines: DataFrame) -> DataFrame:
         .agg(
             F.count_if(a).alias("erp_a_orders"),
             F.count_if(b).alias("erp_b_orders"),
-            F.sum(F.when(a, F.col("amount"))).alias("erp_a_amount"),
-            F.sum(F.when(b, F.col("amount"))).alias("erp_b_amount"),
+            fn.merged(F.when(a, F.col("amount"))).alias("erp_a_amount"),
+            fn.merged(F.when(b, F.col("amount"))).alias("erp_b_amount"),
         )
     )
     both = per_contract.filter((F.col("erp_a_orders") > 0) & (F.col("erp_b_orders") > 0))
     return both.withColumns(
         {
-            c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+            c: F.coalesce(fn.rounded(c), F.lit(0.0))
             for c in ("erp_a_amount", "erp_b_amount")
         }
     )
@@ -182,8 +183,9 @@ def duplicate_orders_across_systems(
     a, b = F.col("source_system") == "erp_a", F.col("source_system") == "erp_b"
     amount = F.col("amount")
     dated = orders.filter(F.col("contract_id").isNotNull() & F.col("order_date").isNotNull())
+    paid = with_activity(dated.select("source_system", "source_order_id", *group), lines)
     priced = (
-        with_activity(dated.select("source_system", "source_order_id", *group), lines)
+        paid.withColumn("amount", fn.as_double(paid, "amount"))
         .filter(amount.isNotNull())
         .withColumn("bucket", F.floor(amount / tolerance).cast("bigint"))
     )
@@ -213,19 +215,22 @@ def duplicate_orders_across_systems(
 
 
 def delivered_sales(
-    schools: DataFrame, orders: DataFrame, lines: BySystem, drops: BySystem
+    schools: DataFrame, orders: DataFrame, unified: DataFrame, lines: BySystem, drops: BySystem
 ) -> DataFrame:
     """Confirmed sales per school and month of the last 12 months of data.
 
     An order counts as delivered if at least one of its deliveries is; deciding
     that per order keeps several deliveries from multiplying the line totals.
-    The window ends at the latest order date in the data, not today.
+    The window ends at the latest order date in the data, not today.  ``unified`` are the orders
+    before any link.
     """
     key = ["source_system", "source_order_id"]
     since = orders.agg(F.add_months(F.max("order_date"), -12).alias("since")).scalar()
-    confirmed = orders.filter(
-        ~F.col("is_cancelled") & F.col("school_id").isNotNull() & (F.col("order_date") >= since)
-    )
+    recent = ~F.col("is_cancelled") & (F.col("order_date") >= since)
+    confirmed = orders.filter(recent & F.col("school_id").isNotNull())
+    # lines and deliveries of other orders are left out before they are shuffled
+    wanted = unified.filter(recent)
+    lines, drops = facts_of(lines, wanted), facts_of(drops, wanted)
     status = F.coalesce("delivery_status_normalized", "status")
     facts = {
         system: [
@@ -244,16 +249,16 @@ def delivered_sales(
     ).filter("has_lines")
     # an order that occurs more than once is one order with the same deliveries
     per_order = per_order.groupBy("school_id", "year_month", *key).agg(
-        F.sum("amount").alias("amount"), F.max("drops").alias("drops")
+        fn.merged("amount").alias("amount"), F.max("drops").alias("drops")
     )
     names = schools.select("school_id", F.col("name").alias("school_name"))
     return (
         per_order.groupBy("school_id", "year_month")
         .agg(
-            F.sum("amount").cast("double").alias("ordered_amount"),
-            F.sum(F.when(F.col("drops") > 0, F.col("amount")).otherwise(F.lit(0)))
-            .cast("double")
-            .alias("delivered_amount"),
+            fn.rounded(fn.merged("amount")).alias("ordered_amount"),
+            F.coalesce(
+                fn.rounded(fn.merged(F.when(F.col("drops") > 0, F.col("amount")))), F.lit(0.0)
+            ).alias("delivered_amount"),
             F.count(F.lit(1)).alias("order_count"),
             F.coalesce(F.sum("drops"), F.lit(0)).alias("delivered_order_count"),
         )
@@ -289,7 +294,7 @@ def manager_sales(
     sold = sold.join(active, "contract_id", "left_semi").withColumn("sold", F.lit(True))
     per_manager = owner_totals(sold, "account_manager_id", ["amount"]).select(
         "account_manager_id",
-        F.col("amount").cast("double").alias("ytd_ordered_amount"),
+        fn.rounded("amount").alias("ytd_ordered_amount"),
         F.col("schools").alias("school_count"),
         F.col("orders").alias("order_count"),
     )

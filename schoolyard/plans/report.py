@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
-from schoolyard.operators import Lookup, dense_months, link, month_list
+from schoolyard.operators import Lookup, dense_months, link, month_list, reduced
 
 ORDER_KEY = ["source_system", "source_order_id"]
 
@@ -20,12 +22,45 @@ BySystem = Mapping[str, DataFrame]
 # names them, and the others are neither read nor shuffled.
 PARTS = ("orders", "items", "deliveries", "tickets")
 
+
+@dataclass(frozen=True)
+class Scope:
+    """The dashboard's global filters: first and last month, and the schools (``school_id``)."""
+
+    first: dt.date | None = None
+    last: dt.date | None = None
+    schools: DataFrame | None = None
+
+    @property
+    def bounded(self) -> bool:
+        return self.first is not None or self.last is not None
+
+    def holds(self, date: str) -> Column:
+        """Whether a date or timestamp lies in the months; filters sink to the scan."""
+        test = F.lit(True)
+        if self.first is not None:
+            test &= F.col(date) >= F.lit(self.first)
+        if self.last is not None:
+            test &= F.col(date) < F.add_months(F.lit(self.last), 1)
+        return test
+
+
+EVERYTHING = Scope()
+
+
+def in_scope(rows: DataFrame, scope: Scope) -> DataFrame:
+    """School-month rows of the months and schools in scope."""
+    if scope.schools is not None:
+        rows = rows.join(scope.schools.select("school_id"), "school_id", "left_semi")
+    return rows.filter(scope.holds("month"))
+
+
 _MEASURES = {
     "total_orders": "bigint",
     "active_orders": "bigint",
     "cancelled_orders": "bigint",
-    "ordered_amount": "decimal(38,4)",
-    "ordered_quantity": "decimal(38,4)",
+    "ordered_amount": fn.TOTAL,
+    "ordered_quantity": fn.TOTAL,
     "total_deliveries": "bigint",
     "successful_deliveries": "bigint",
     "quantity_delivered": "bigint",
@@ -43,6 +78,20 @@ def _entry(month: Column, **values: Column) -> Column:
     return F.struct(month.alias("month"), *measures)
 
 
+def facts_of(facts: BySystem, orders: DataFrame) -> dict[str, DataFrame]:
+    """Rows of each system's facts whose order may be among the given ones."""
+    return {
+        system: reduced(
+            df,
+            "order_key",
+            orders.filter(F.col("source_system") == system).select(
+                F.col("source_order_id").cast("bigint").alias("order_key")
+            ),
+        )
+        for system, df in facts.items()
+    }
+
+
 def lines_per_order(lines: DataFrame) -> DataFrame:
     """Line totals summed to order grain before anything is joined to them."""
     return lines.groupBy("order_key").agg(
@@ -109,7 +158,11 @@ def with_activity(orders: DataFrame, activity: DataFrame) -> DataFrame:
 
 
 def _order_facts(
-    orders: DataFrame, lines: BySystem, drops: BySystem, parts: Collection[str]
+    orders: DataFrame,
+    lines: BySystem,
+    drops: BySystem,
+    parts: Collection[str],
+    scope: Scope = EVERYTHING,
 ) -> DataFrame:
     """School-month contributions of orders, their lines and their deliveries.
 
@@ -120,6 +173,10 @@ def _order_facts(
     joined = orders.select(*ORDER_KEY, "school_id", "order_date", "is_cancelled").filter(
         F.col("school_id").isNotNull()
     )
+    if scope.schools is not None:
+        joined = joined.join(scope.schools.select("school_id"), "school_id", "left_semi")
+    if "deliveries" not in parts:
+        joined = joined.filter(scope.holds("order_date"))
     facts: dict[str, list[DataFrame]] = {system: [] for system in lines}
     month = fn.month_of("order_date")
     placed: dict[str, Column] = {}
@@ -139,7 +196,7 @@ def _order_facts(
     entries = F.when(F.col("order_date").isNotNull(), F.array(_entry(month, **placed)))
     if "deliveries" in parts:
         for system, df in drops.items():
-            facts[system].append(drops_per_order(df))
+            facts[system].append(drops_per_order(df.filter(scope.holds("delivery_date"))))
         delivered = F.transform(
             "drops",
             lambda d: _entry(
@@ -153,7 +210,7 @@ def _order_facts(
         entries = F.concat(F.coalesce(entries, none), F.coalesce(delivered, none))
     if any(facts.values()):
         joined = with_activity(joined, activity_per_order(facts))
-    return joined.select("school_id", F.inline(entries))
+    return joined.select("school_id", F.inline(entries)).filter(scope.holds("month"))
 
 
 def _entry_type() -> str:
@@ -194,16 +251,27 @@ def school_month_facts(
     tickets: DataFrame,
     org_schools: DataFrame,
     parts: Collection[str] = PARTS,
+    scope: Scope = EVERYTHING,
 ) -> DataFrame:
-    """Sparse facts: one row per school and month in which something happened."""
+    """Sparse facts: one row per school and month in which something happened.
+
+    A scope is applied to orders, deliveries and tickets before they are joined.
+    """
     stacked = []
     if set(parts) & {"orders", "items", "deliveries"}:
-        stacked.append(_order_facts(orders, lines, drops, parts))
+        stacked.append(_order_facts(orders, lines, drops, parts, scope))
     if "tickets" in parts:
-        stacked.append(_ticket_facts(tickets, org_schools))
+        asked = tickets.filter(scope.holds("created_at"))
+        if scope.schools is not None:
+            wanted = scope.schools.select("school_id")
+            org_schools = org_schools.join(wanted, "school_id", "left_semi")
+        stacked.append(_ticket_facts(asked, org_schools))
     facts = reduce(DataFrame.unionByName, stacked)
     return facts.groupBy("school_id", "month").agg(
-        *[F.sum(m).cast(kind).alias(m) for m, kind in _MEASURES.items()]
+        *[
+            (fn.rounded(fn.merged(m)) if kind == fn.TOTAL else F.sum(m).cast(kind)).alias(m)
+            for m, kind in _MEASURES.items()
+        ]
     )
 
 
@@ -292,7 +360,7 @@ def owner_totals(per_order: DataFrame, owner: str, sums: Sequence[str]) -> DataF
     once = per_order.groupBy(owner, *ORDER_KEY).agg(
         F.bool_or("sold").alias("sold"),
         F.array_sort(F.collect_set(F.when(F.col("sold"), F.col("school_id")))).alias("schools"),
-        *[F.sum(c).alias(c) for c in sums],
+        *[fn.summed(per_order, c).alias(c) for c in sums],
     )
     parts = once.select(
         owner, "sold", *sums, F.posexplode_outer("schools").alias("nth", "school_id")
@@ -300,12 +368,12 @@ def owner_totals(per_order: DataFrame, owner: str, sums: Sequence[str]) -> DataF
     first = F.coalesce(F.col("nth"), F.lit(0)) == 0
     per_school = parts.groupBy(owner, "school_id").agg(
         F.count_if(first & F.col("sold")).alias("orders"),
-        *[F.sum(F.when(first, F.col(c))).alias(c) for c in sums],
+        *[fn.summed(parts, c, where=first).alias(c) for c in sums],
     )
     return per_school.groupBy(owner).agg(
         F.sum("orders").alias("orders"),
         F.count("school_id").alias("schools"),
-        *[F.sum(c).alias(c) for c in sums],
+        *[fn.summed(per_school, c).alias(c) for c in sums],
     )
 
 
@@ -330,7 +398,7 @@ def ytd_portfolio(
         .groupBy("account_manager_id")
         .agg(
             F.count("contract_id").alias("total_contracts"),
-            F.sum("total").cast("double").alias("total_contracted_amount"),
+            fn.rounded(fn.merged("total")).alias("total_contracted_amount"),
         )
     )
     asked = tickets_per_order(tickets.filter(fn.in_year("created_at", ref)))
@@ -349,7 +417,7 @@ def ytd_portfolio(
         "account_manager_id",
         F.col("orders").alias("total_orders"),
         F.col("schools").alias("total_schools_served"),
-        F.col("amount").cast("double").alias("ordered_amount"),
+        fn.rounded("amount").alias("ordered_amount"),
         F.col("tickets").alias("total_tickets"),
         "hours",
         "solved",

@@ -6,7 +6,9 @@ from collections.abc import Collection, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from schoolyard import functions as fn
 from schoolyard.plans import curated, report
 from schoolyard.plans.clean import CLEAN
 from schoolyard.session import prepare
@@ -164,23 +166,52 @@ class Workspace:
         """Deliveries of each ERP's orders under that ERP's own order number."""
         return curated.order_drops(self.clean["erp_a_delivery"], self.clean["fin_nota_fiscal"])
 
-    @cached_property
-    def line_activity(self) -> DataFrame:
+    def lines_of(self, orders: DataFrame) -> dict[str, DataFrame]:
+        """The lines that may belong to some of the orders, left out before any shuffle."""
+        return report.facts_of(self.order_lines, orders)
+
+    def activity_of(self, lines: Mapping[str, DataFrame]) -> DataFrame:
         """Amount and quantity of every order that has lines."""
         return report.activity_per_order(
-            {system: [report.lines_per_order(df)] for system, df in self.order_lines.items()}
+            {system: [report.lines_per_order(df)] for system, df in lines.items()}
         )
 
-    def school_month_facts(self, parts: Collection[str] = report.PARTS) -> DataFrame:
+    @cached_property
+    def line_activity(self) -> DataFrame:
+        return self.activity_of(self.order_lines)
+
+    @cached_property
+    def orders_of_the_year(self) -> DataFrame:
+        """Orders of the reference year that are not cancelled, before any link."""
+        of_year = fn.in_year("order_date", self.reference_year.scalar())
+        return self.orders_unified.filter(~F.col("is_cancelled") & of_year)
+
+    def school_month_facts(
+        self, parts: Collection[str] = report.PARTS, scope: report.Scope = report.EVERYTHING
+    ) -> DataFrame:
+        """What happened, by school and month; a written report serves as well."""
+        if "monthly" in self.stored:
+            return report.in_scope(self.stored["monthly"], scope)
+        lines = self.order_lines
+        if scope.bounded and "items" in parts:
+            lines = self.lines_of(self.orders_unified.filter(scope.holds("order_date")))
         return report.school_month_facts(
             self.orders,
-            self.order_lines,
+            lines,
             self.order_drops,
             self.clean["support_ticket"],
             self.organization_schools,
             parts,
+            scope,
         )
 
+    def card_months(self, parts: Collection[str], scope: report.Scope = report.EVERYTHING):
+        """The months a card lists: all active ones in scope, if there is a school at all."""
+        months = self.active_months(summed="deliveries" in parts)
+        listed = months.select(F.explode("months").alias("month")).filter(scope.holds("month"))
+        some = scope.schools if scope.schools is not None else self.school_directory
+        return listed.filter(some.limit(1).agg(F.count(F.lit(1))).scalar() > 0)
+
     def monthly_metrics(self, parts: Collection[str] = report.PARTS) -> DataFrame:
         if "monthly" in self.stored:
             return self.stored["monthly"]
@@ -202,7 +233,7 @@ class Workspace:
                 self.account_managers,
                 self.contracts,
                 self.orders,
-                self.order_lines,
+                self.lines_of(self.orders_of_the_year),
                 self.clean["support_ticket"],
                 self.reference_year,
             ),

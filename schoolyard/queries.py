@@ -14,6 +14,7 @@ from schoolyard import functions as fn
 from schoolyard.operators import dense_months, joined_tags, run_checks
 from schoolyard.plans import cards, declared, extensions, profile
 from schoolyard.plans.clean import CLEAN
+from schoolyard.plans.report import PARTS, Scope
 from schoolyard.plans.workspace import Workspace
 from schoolyard.sources.raw import RAW_TABLES, row_counts
 
@@ -224,14 +225,16 @@ def fill_rate(ws: Workspace) -> DataFrame:
 # -- cards -----------------------------------------------------------------
 
 
+def _card(build: Callable, *parts: str) -> Callable[[Workspace], DataFrame]:
+    """A card by month over what happened; the list of months comes last."""
+    return lambda ws: build(ws.school_month_facts(parts), ws.card_months(parts))
+
+
 def filtered_trend(ws: Workspace) -> DataFrame:
-    wanted = cards.filter_metrics(
-        ws.monthly_metrics(),
-        month_from=dt.date(2017, 1, 1),
-        month_to=dt.date(2019, 12, 1),
-        state="ASIA",
+    scope = Scope(
+        dt.date(2017, 1, 1), dt.date(2019, 12, 1), ws.schools.filter(F.col("state") == "ASIA")
     )
-    return cards.trend(wanted)
+    return cards.trend(ws.school_month_facts(PARTS, scope), ws.card_months(PARTS, scope))
 
 
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
@@ -269,10 +272,14 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "monthly_school_metrics": lambda ws: ws.monthly_metrics(),
     "ytd_am_portfolio": lambda ws: ws.ytd_portfolio,
     "rfc_school_month_sales": lambda ws: profile.delivered_sales(
-        ws.schools, ws.orders, ws.order_lines, ws.order_drops
+        ws.schools, ws.orders, ws.orders_unified, ws.order_lines, ws.order_drops
     ),
     "rfc_am_ytd_sales": lambda ws: profile.manager_sales(
-        ws.account_managers, ws.contracts, ws.orders, ws.line_activity, ws.reference_year
+        ws.account_managers,
+        ws.contracts,
+        ws.orders,
+        ws.activity_of(ws.lines_of(ws.orders_of_the_year)),
+        ws.reference_year,
     ),
     "cross_erp_duplicate_orders": lambda ws: profile.duplicate_orders_across_systems(
         ws.orders, ws.line_activity
@@ -294,7 +301,10 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "manager_timeline": lambda ws: extensions.manager_timeline(ws.contracts),
     "manager_brands": lambda ws: extensions.manager_brands(
-        ws.contracts, ws.orders, ws.line_activity, ws.reference_year
+        ws.contracts,
+        ws.orders,
+        ws.activity_of(ws.lines_of(ws.orders_of_the_year)),
+        ws.reference_year,
     ),
     "dq_unique": _declared("unique"),
     "dq_not_null": _declared("not_null"),
@@ -311,22 +321,27 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "fill_rate": fill_rate,
     "card_kpis": lambda ws: cards.kpis(ws.ytd_portfolio),
-    "card_delivery_rate": lambda ws: cards.delivery_rate(ws.monthly_metrics(["deliveries"])),
-    "card_monthly_amount": lambda ws: cards.monthly_amount(ws.monthly_metrics(["items"])),
-    "card_monthly_orders": lambda ws: cards.monthly_orders(ws.monthly_metrics(["orders"])),
-    "card_monthly_delivery_rate": lambda ws: cards.monthly_delivery_rate(
-        ws.monthly_metrics(["deliveries"])
+    "card_delivery_rate": lambda ws: cards.delivery_rate(ws.school_month_facts(["deliveries"])),
+    "card_monthly_amount": _card(cards.monthly_amount, "items"),
+    "card_monthly_orders": _card(cards.monthly_orders, "orders"),
+    "card_monthly_delivery_rate": _card(cards.monthly_delivery_rate, "deliveries"),
+    "card_state_volume": lambda ws: cards.state_volume(
+        ws.school_month_facts(["deliveries"]), ws.schools, ws.active_months(summed=True)
     ),
-    "card_state_volume": lambda ws: cards.state_volume(ws.monthly_metrics(["deliveries"])),
-    "card_monthly_tickets": lambda ws: cards.monthly_tickets(ws.monthly_metrics(["tickets"])),
+    "card_monthly_tickets": _card(cards.monthly_tickets, "tickets"),
     "card_resolution_time": lambda ws: cards.resolution_time(
         ws.clean["support_ticket"], ws.reference_year
     ),
     "card_portfolio": lambda ws: cards.portfolio(ws.ytd_portfolio),
     "card_am_ranking": lambda ws: cards.manager_ranking(ws.ytd_portfolio),
-    "card_top_schools": lambda ws: cards.top_schools(ws.monthly_metrics(["items"])),
+    "card_top_schools": lambda ws: cards.top_schools(
+        ws.school_month_facts(["items"]), ws.schools, ws.active_months()
+    ),
+    "card_board": lambda ws: cards.board(
+        ws.school_month_facts(), ws.schools, ws.active_months(summed=True)
+    ),
     "filtered_trend": filtered_trend,
     "school_trailing_year": lambda ws: cards.trailing_year(
-        ws.monthly_metrics(["orders", "items"])
+        ws.school_month_facts(["orders", "items"]), ws.schools, ws.active_months()
     ),
 }

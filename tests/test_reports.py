@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,28 +35,67 @@ def monthly(spark):
     return spark.createDataFrame(MONTHLY, SCHEMA)
 
 
+@pytest.fixture(scope="module")
+def months(monthly):
+    return monthly.select("month").distinct()
+
+
+@pytest.fixture(scope="module")
+def month_row(monthly):
+    return monthly.agg(F.array_sort(F.collect_set("month")).alias("months"))
+
+
+@pytest.fixture(scope="module")
+def schools(monthly):
+    return monthly.select("school_id", F.col("school_name").alias("name"), "state").distinct()
+
+
 def tuples(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_rates_are_null_without_deliveries(monthly):
+def test_rates_are_null_without_deliveries(monthly, months):
     assert cards.delivery_rate(monthly).first()[0] == 0.8
-    assert dict(tuples(cards.monthly_delivery_rate(monthly))) == {JAN: 80.0, FEB: None, MAR: None}
+    by_month = cards.monthly_delivery_rate(monthly, months)
+    assert dict(tuples(by_month)) == {JAN: 80.0, FEB: None, MAR: None}
     nothing = cards.delivery_rate(monthly.filter("total_deliveries = 0"))
     assert nothing.first()[0] is None
 
 
-def test_monthly_cards(monthly):
-    assert dict(tuples(cards.monthly_amount(monthly))) == {JAN: 32.1, FEB: 0.1, MAR: 0.2}
-    orders = {m: (a, c) for m, a, c in tuples(cards.monthly_orders(monthly))}
+def test_monthly_cards(monthly, months):
+    assert dict(tuples(cards.monthly_amount(monthly, months))) == {JAN: 32.1, FEB: 0.1, MAR: 0.2}
+    orders = {m: (a, c) for m, a, c in tuples(cards.monthly_orders(monthly, months))}
     assert orders == {JAN: (2, 1), FEB: (1, 0), MAR: (0, 0)}
-    assert dict(tuples(cards.monthly_tickets(monthly))) == {JAN: 1, FEB: 0, MAR: 2}
+    assert dict(tuples(cards.monthly_tickets(monthly, months))) == {JAN: 1, FEB: 0, MAR: 2}
+
 
+def test_months_without_facts_are_listed(monthly, months):
+    january = monthly.filter(F.col("month") == JAN)
+    assert dict(tuples(cards.monthly_amount(january, months))) == {JAN: 32.1, FEB: 0.0, MAR: 0.0}
+    rates = dict(tuples(cards.monthly_delivery_rate(january, months)))
+    assert rates == {JAN: 80.0, FEB: None, MAR: None}
 
-def test_rankings_break_ties_by_key(monthly):
-    assert tuples(cards.state_volume(monthly)) == [("PE", 30), ("SP", 30), (None, 5)]
-    top = tuples(cards.top_schools(monthly, 2))
+
+def test_rankings_break_ties_by_key(monthly, schools, month_row):
+    volume = cards.state_volume(monthly, schools, month_row)
+    assert tuples(volume) == [("PE", 30), ("SP", 30), (None, 5)]
+    top = tuples(cards.top_schools(monthly, schools, month_row, 2))
     assert top == [("s1", "One", 10.8), ("s2", "Two", 10.8)]
+    idle = cards.top_schools(monthly.filter("false"), schools, month_row, 2)
+    assert tuples(idle) == [("s1", "One", 0.0), ("s2", "Two", 0.0)]
+    none = month_row.select(F.array().cast("array<date>").alias("months"))
+    assert tuples(cards.top_schools(monthly, schools, none)) == []
+
+
+def test_board_groups_by_every_set_of_keys(monthly, schools, month_row):
+    rows = {(r.card, r.key): r for r in cards.board(monthly, schools, month_row).collect()}
+    assert rows[("all", None)].ordered_amount == 32.4
+    assert rows[("month", str(FEB))].ordered_amount == 0.1
+    assert rows[("state", None)].quantity_delivered == 5
+    assert rows[("school", "s2")].delivery_rate_pct == 100.0
+    assert len(rows) == 3 + 3 + 3 + 1
+    idle = {(r.card, r.key) for r in cards.board(monthly.filter("false"), schools, month_row).collect()}
+    assert idle == set(rows)
 
 
 def test_filters_combine_and_default_to_everything(monthly):
@@ -64,17 +104,23 @@ def test_filters_combine_and_default_to_everything(monthly):
     assert [r.school_id for r in one.collect()] == ["s1"]
     named = cards.filter_metrics(monthly, school="Two", month_to=JAN)
     assert {r.school_id for r in named.collect()} == {"s2", "s3"}
-    assert cards.trend(named).first().ordered_amount == 21.6
+    trend = cards.trend(named, named.select("month").distinct())
+    assert trend.first().ordered_amount == 21.6
 
 
-def test_trailing_year_counts_calendar_months(monthly):
-    got = {(r.school_id, r.month): r for r in cards.trailing_year(monthly).collect()}
+def test_trailing_year_counts_calendar_months(monthly, schools, month_row):
+    frame = cards.trailing_year(monthly, schools, month_row)
+    got = {(r.school_id, r.month): r for r in frame.collect()}
+    assert len(got) == 9  # all schools in all months
     # January 2023 is twelve months before January 2024 and outside its window
     assert got[("s1", FEB)].trailing_amount == 0.1
     assert got[("s1", FEB)].year_ago_amount == 10.5
-    assert got[("s1", MAR)].trailing_amount == 0.3
+    assert got[("s1", MAR)].trailing_amount == math.fsum([0.1, 0.2])
     assert got[("s1", MAR)].year_ago_amount is None
     assert got[("s1", JAN)].trailing_orders == 2
+    # no fact of its own, nothing left in the window, and a listed month a year before
+    assert tuple(got[("s2", MAR)])[2:] == (0.0, 0.0, 0, None)
+    assert got[("s2", FEB)].year_ago_amount is None or got[("s2", FEB)].year_ago_amount == 0.0
 
 
 def test_ticket_references_match_order_ids_as_text(spark):
