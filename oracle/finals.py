@@ -128,6 +128,19 @@ FROM x_priced a JOIN x_priced b ON a.contract_id = b.contract_id AND a.order_dat
  AND a.source_system <> b.source_system AND abs(a.total - b.total) < {tolerance}"""
 
 
+_DUPLICATE_CHECKS = (("no_cross_erp_duplicate_order", 1), ("no_cross_erp_similar_order", 100_000))
+
+
+def _group_check(name: str, tolerance: int) -> str:
+    return f"""
+UNION ALL SELECT '{name}', g.n, g.n - f.n, CAST(g.n - f.n AS DOUBLE) / nullif(g.n, 0), f.n = 0, f.keys
+FROM (SELECT count(*) AS n FROM (SELECT 1 FROM e_order
+      WHERE contract_id IS NOT NULL AND order_date IS NOT NULL
+      GROUP BY contract_id, order_date HAVING count(DISTINCT source_system) > 1)) g,
+     (SELECT count(*) AS n, array_to_string(list_sort(list(contract_id || '/' || order_date))[:5], ', ') AS keys
+      FROM ({_close_orders(tolerance)})) f"""
+
+
 def finals() -> dict[str, str]:
     money = _sum("ordered_amount")
     counts = ", ".join(
@@ -296,6 +309,34 @@ FROM (SELECT *, row_number() OVER v AS nth, lag(account_manager_id) OVER v AS be
       WINDOW v AS (PARTITION BY school_id ORDER BY start_date, contract_id))
 WHERE nth = 1 OR account_manager_id IS DISTINCT FROM before
 WINDOW w AS (PARTITION BY school_id ORDER BY start_date, contract_id)""",
+        "school_timeline": """
+SELECT school_id, CAST(v AS INTEGER) AS version, account_manager_id, brand,
+       CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
+       valid_to IS NULL AS is_current FROM x_version""",
+        "order_manager_at_date": """
+SELECT o.order_id, o.school_id, CAST(o.order_date AS VARCHAR) AS order_date,
+       o.account_manager_id AS contract_manager_id,
+       CASE WHEN holds THEN v.account_manager_id END AS account_manager_id,
+       CASE WHEN holds THEN v.brand END AS brand,
+       CASE WHEN holds THEN CAST(v.valid_from AS VARCHAR) END AS valid_from
+FROM e_order o ASOF LEFT JOIN (SELECT *, true AS held FROM x_version) v
+  ON v.school_id = o.school_id AND o.order_date >= v.valid_from,
+LATERAL (SELECT held AND (v.valid_to IS NULL OR v.valid_to > o.order_date) AS holds)""",
+        "mapping_conflicts": """
+SELECT src AS source_key, dst AS target_key, CASE WHEN dst IS NULL THEN 'invalid'
+       WHEN src NOT IN (SELECT src FROM x_sound) THEN 'contradiction' ELSE 'cycle' END AS problem
+FROM x_seed WHERE dst IS NULL OR src NOT IN (SELECT src FROM x_sound)
+   OR src IN (SELECT src FROM x_walk WHERE steps = 40)""",
+        "mapped_schools": """
+SELECT coalesce(max(source_id) FILTER (rank = 1), 'NCRM-' || cnpj) AS school_id, cnpj,
+       arg_min(name, rank) AS name, arg_min(razao_social, rank) AS razao_social,
+       arg_min(city, rank) AS city, arg_min(state, rank) AS state,
+       max(source_id) FILTER (rank = 1) AS crm_account_id,
+       max(source_id) FILTER (rank = 2) AS erp_a_customer_code,
+       max(source_id) FILTER (rank = 3) AS erp_b_escola_id,
+       max(source_id) FILTER (rank = 4) AS support_org_id
+FROM (SELECT * FROM x_mapped_record WHERE length(cnpj) = 14
+      QUALIFY row_number() OVER (PARTITION BY cnpj, rank ORDER BY source_id) = 1) GROUP BY cnpj""",
         "manager_brands": f"""
 SELECT account_manager_id, brand, count(DISTINCT signed_id) AS total_contracts,
        {double('coalesce(sum(signed), 0)')} AS contracted_amount,
@@ -321,11 +362,13 @@ GROUP BY account_manager_id, brand""",
         "dq_coverage": """
 SELECT 'order_contract_coverage' AS check_name, count(*) AS n_rows,
        count(contract_id) AS n_passing, CAST(count(contract_id) AS DOUBLE) / count(*) AS share,
-       CAST(count(contract_id) AS DOUBLE) / count(*) > 0.70 AS passed FROM e_order
+       CAST(count(contract_id) AS DOUBLE) / count(*) > 0.70 AS passed,
+       CAST(NULL AS VARCHAR) AS failing_keys FROM e_order
 UNION ALL SELECT 'school_cross_system_match', count(*), count(coalesce(erp_a_customer_code,
        erp_b_escola_id)), CAST(count(coalesce(erp_a_customer_code, erp_b_escola_id)) AS DOUBLE)
        / count(*), CAST(count(coalesce(erp_a_customer_code, erp_b_escola_id)) AS DOUBLE)
-       / count(*) > 0.60 FROM e_school""",
+       / count(*) > 0.60, NULL FROM e_school"""
+        + "".join(_group_check(*c) for c in _DUPLICATE_CHECKS),
         "row_count_reconciliation": f"""
 SELECT table_name, n_rows, n_clean_rows, n_rows = n_clean_rows AS matches
 FROM (VALUES {counts}) v(table_name, n_rows, n_clean_rows)""",

@@ -7,10 +7,12 @@ from schoolyard.operators.link import Lookup, link
 from schoolyard.operators.reduction import reduced
 from schoolyard.operators.resolve import directory, resolve_entity
 from schoolyard.operators.text import joined_tags
+from schoolyard.operators.timeline import as_of, versions
 
 __all__ = [
     "Check",
     "Lookup",
+    "as_of",
     "conform_union",
     "dense_months",
     "directory",
@@ -20,4 +22,5 @@ __all__ = [
     "reduced",
     "resolve_entity",
     "run_checks",
+    "versions",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schoolyard.operators import Check
-from schoolyard.plans import curated
+from schoolyard.plans import curated, profile
 from schoolyard.plans.workspace import Workspace
 from schoolyard.sources.names import clean_name, curated_name, report_name, staging_name
 
@@ -159,6 +159,19 @@ def full_name(short: str) -> str:
         return curated_name(short)
 
 
+def duplicate_checks(ws: Workspace) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Groups in which the ERPs may repeat an order, and those where amounts are that close."""
+    groups = profile.both_system_groups(ws.orders)
+
+    def close(tolerance: int) -> DataFrame:
+        return profile.duplicate_orders_across_systems(ws.orders, ws.line_activity, tolerance)
+
+    return {
+        "no_cross_erp_duplicate_order": (groups, close(1)),
+        "no_cross_erp_similar_order": (groups, close(100_000)),
+    }
+
+
 def thresholds(ws: Workspace) -> dict[str, tuple[DataFrame, Column, float]]:
     """Coverage checks: rows, what a row has to satisfy, share to exceed."""
     return {

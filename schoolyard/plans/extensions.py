@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from schoolyard import functions as fn
 from schoolyard.functions import status as st
-from schoolyard.operators import Lookup, link
+from schoolyard.operators import Lookup, as_of, link
 from schoolyard.plans.report import ORDER_KEY, activity_per_order, lines_per_order, with_activity
 
 
@@ -218,3 +218,13 @@ def manager_timeline(contracts: DataFrame) -> DataFrame:
         until.alias("valid_to"),
         until.isNull().alias("is_current"),
     )
+
+
+def manager_at_date(orders: DataFrame, timeline: DataFrame) -> DataFrame:
+    """Every order with the manager and brand its school had on the day, beside its contract's."""
+    dated = orders.select(
+        "order_id", "school_id", "order_date", F.col("account_manager_id").alias("contract_manager_id")
+    )
+    return as_of(
+        dated, "school_id", "order_date", timeline, ["account_manager_id", "brand"], row_id=["order_id"]
+    )

@@ -308,6 +308,42 @@ def manager_sales(
     )
 
 
+def both_system_groups(orders: DataFrame) -> DataFrame:
+    """(contract_id, order_date) with orders of both ERPs: where duplicates can be."""
+    dated = orders.filter(F.col("contract_id").isNotNull() & F.col("order_date").isNotNull())
+    systems = dated.groupBy("contract_id", "order_date").agg(
+        F.min("source_system").alias("low"), F.max("source_system").alias("high")
+    )
+    return systems.filter("low <> high").select("contract_id", "order_date")
+
+
+def group_checks(checks: Mapping[str, tuple[DataFrame, DataFrame]], sample: int = 5) -> DataFrame:
+    """Checks over groups, each given as (all groups, failing groups); one that fails fails it.
+
+    The row names up to ``sample`` failing keys, the lowest ones, columns joined by ``/``.
+    """
+    out = []
+    for name, (groups, failing) in checks.items():
+        keys = F.concat_ws("/", *[F.col(c).cast("string") for c in failing.columns])
+        lowest = failing.select(keys.alias("key")).orderBy("key").limit(sample)
+        failures = failing.agg(F.count(F.lit(1)).alias("n")).scalar()
+        named = lowest.agg(F.array_join(F.sort_array(F.collect_list("key")), ", ").alias("s")).scalar()
+        counted = groups.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+            "n_passing", F.col("n_rows") - failures
+        )
+        out.append(
+            counted.select(
+                F.lit(name).alias("check_name"),
+                "n_rows",
+                "n_passing",
+                _share("n_passing", "n_rows").alias("share"),
+                (F.col("n_passing") == F.col("n_rows")).alias("passed"),
+                F.when(F.col("n_passing") < F.col("n_rows"), named).alias("failing_keys"),
+            )
+        )
+    return _stack(out)
+
+
 def coverage(checks: Mapping[str, tuple[DataFrame, Column, float]]) -> DataFrame:
     """Share of rows that pass, against a threshold it has to exceed."""
     out = []

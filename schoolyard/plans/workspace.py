@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schoolyard import functions as fn
+from schoolyard.operators import versions
+from schoolyard.operators.overlay import closed_mapping, mapping_problems, overlaid
 from schoolyard.plans import curated, report
 from schoolyard.plans.clean import CLEAN
 from schoolyard.session import prepare
@@ -39,7 +41,12 @@ class Workspace:
     run keeps each entity from being computed again by its readers.
     """
 
-    def __init__(self, raw, stored: Mapping[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        raw,
+        stored: Mapping[str, DataFrame] | None = None,
+        mapping: DataFrame | None = None,
+    ):
         if isinstance(raw, Mapping):  # a StarSource comes with a prepared session
             for df in raw.values():
                 prepare(df.sparkSession)
@@ -47,10 +54,12 @@ class Workspace:
         self.raw = raw
         self.clean = _Clean(raw)
         self.stored = dict(stored or {})
+        self.mapping = mapping
 
     @classmethod
     def over_star(cls, spark: SparkSession, folder: str) -> Workspace:
-        return cls(StarSource(prepare(spark), folder))
+        source = StarSource(prepare(spark), folder)
+        return cls(source, mapping=source._school_mapping())
 
     # -- school
 
@@ -58,6 +67,34 @@ class Workspace:
     def school_records(self) -> DataFrame:
         return curated.school_records(self.clean)
 
+    @cached_property
+    def mapping_problems(self) -> DataFrame:
+        """Manual mappings of tax ids (source_tax_id, target_tax_id) with what is wrong."""
+        return mapping_problems(
+            self.mapping, fn.valid_digits("source_tax_id"), fn.valid_digits("target_tax_id")
+        )
+
+    @cached_property
+    def mapped_schools(self) -> DataFrame:
+        """Schools after the manual mappings; records without a mapping are as before."""
+        row_id = ["source_system", "source_id"]
+        records = overlaid(
+            self.school_records, "cnpj", closed_mapping(self.mapping_problems), row_id
+        )
+        return curated.schools(records)
+
+    @cached_property
+    def school_timeline(self) -> DataFrame:
+        """Manager and brand of each school over time, from the terms of its contracts."""
+        return versions(
+            self.contracts.filter(~F.col("is_cancelled")),
+            "school_id",
+            "start_date",
+            ["account_manager_id", "brand"],
+            order="contract_id",
+            ends="end_date",
+        )
+
     @cached_property
     def school_directory(self) -> DataFrame:
         return curated.school_directory(self.school_records)

@@ -300,6 +300,10 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         ws.clean["fin_nota_fiscal"],
     ),
     "manager_timeline": lambda ws: extensions.manager_timeline(ws.contracts),
+    "school_timeline": lambda ws: ws.school_timeline,
+    "order_manager_at_date": lambda ws: extensions.manager_at_date(ws.orders, ws.school_timeline),
+    "mapped_schools": lambda ws: ws.mapped_schools,
+    "mapping_conflicts": lambda ws: ws.mapping_problems.filter("problem IS NOT NULL"),
     "manager_brands": lambda ws: extensions.manager_brands(
         ws.contracts,
         ws.orders,
@@ -310,7 +314,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "dq_not_null": _declared("not_null"),
     "dq_accepted_values": _declared("accepted_values"),
     "dq_relationships": _declared("relationships"),
-    "dq_coverage": lambda ws: profile.coverage(declared.thresholds(ws)),
+    "dq_coverage": lambda ws: profile.coverage(declared.thresholds(ws)).unionByName(
+        profile.group_checks(declared.duplicate_checks(ws)), allowMissingColumns=True
+    ),
     "row_count_reconciliation": row_count_reconciliation,
     "key_match_rate": key_match_rate,
     "contract_match_rate": contract_match_rate,

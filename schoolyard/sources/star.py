@@ -137,6 +137,24 @@ class StarSource:
         )
         return df.join(places, F.col(nation_key) == F.col("n_nationkey"), "left")
 
+    def _school_mapping(self) -> DataFrame:
+        """Manual mappings of tax ids, as people write them: chains, cycles, contradictions."""
+        k = F.col("c_custkey")
+
+        def to(rule: Column, key: Column) -> Column:
+            return F.when(rule, _tax_id(key))
+
+        targets = F.array(
+            to((k % 40 == 1) | (k % 80 == 2) | (k % 60 == 9), k + 1),
+            to((k % 90 == 5) | (k % 60 == 9), k + 2),
+            to(k % 90 == 7, k - 2),
+            F.when(k % 100 == 14, "n/a"),
+        )
+        return self._read("customer").select(
+            _dotted(_tax_id(k)).alias("source_tax_id"),
+            F.explode(F.array_compact(targets)).alias("target_tax_id"),
+        )
+
     # -- CRM ---------------------------------------------------------------
 
     def crm_user(self) -> DataFrame:

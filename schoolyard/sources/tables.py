@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Collection
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,16 @@ def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(STAMP, F.current_timestamp())
 
 
+def _aside(name: str) -> str:
+    """Where the new months of a refresh wait."""
+    return f"{name}__aside"
+
+
+def _listed(name: str) -> str:
+    """The months of a refresh that is committed but not in place; empty otherwise."""
+    return f"{name}__months"
+
+
 class Store:
     """Tables in a catalog (``layer.name``), or in folders below ``root``.
 
@@ -30,10 +41,24 @@ class Store:
         return f"{self._root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
+        """The table; a refresh that was cut short is finished first."""
+        self._finish(layer, name)
+        return self._table(layer, name)
+
+    def _table(self, layer: str, name: str) -> DataFrame:
         if self._root is None:
             return self._spark.table(f"{layer}.{name}")
         return self._spark.read.parquet(self._path(layer, name))
 
+    def _exists(self, layer: str, name: str) -> bool:
+        if self._root is None:
+            return self._spark.catalog.tableExists(f"{layer}.{name}")
+        try:
+            self._spark.read.parquet(self._path(layer, name))
+        except AnalysisException:  # no such folder, or nothing written to it
+            return False
+        return True
+
     def replace(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         """Overwrite the whole table and return it as read back."""
         self._save(df.write.mode("overwrite"), layer, name)
@@ -58,10 +83,51 @@ class Store:
         """Overwrite exactly the given months (None: rows without one); the others stay.
 
         ``df`` holds all rows of those months. A month that has none any more is emptied.
+
+        The new months are first written aside, and then the list of months. That list is the
+        commit: before it is there, the table is as it was; once it is, the months are put in
+        place, and a run that fails on the way is finished by the next read or refresh. Putting
+        them in place twice gives the same table.
         """
+        self._finish(layer, name)
+        columns = self._table(layer, name).columns
+        aside, listed = _aside(name), _listed(name)
+        self._save(self._by_month(df.select(*columns), month, cluster_by), layer, aside)
+        plan = [(m, month, cluster_by) for m in months]
+        self._save(
+            self._spark.createDataFrame(plan, "m date, month string, cluster string")
+            .coalesce(1)
+            .write.mode("overwrite"),
+            layer,
+            listed,
+        )
+        return self.read(layer, name)
+
+    def _finish(self, layer: str, name: str) -> None:
+        """Put in place what a refresh has committed; nothing to do otherwise."""
+        if not self._exists(layer, _listed(name)):
+            return
+        plan = self._table(layer, _listed(name)).collect()  # bounded by the calendar
+        if not plan:
+            return
+        staged = self._table(layer, _aside(name))
+        column, cluster_by = plan[0]["month"], plan[0]["cluster"]
+        self._put(staged, layer, name, column, cluster_by, [r["m"] for r in plan])
+        done = self._spark.createDataFrame([], "m date, month string, cluster string")
+        self._save(done.coalesce(1).write.mode("overwrite"), layer, _listed(name))
+
+    def _put(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        month: str,
+        cluster_by: str,
+        months: Collection[dt.date | None],
+    ) -> None:
         if self._root is None:
             table = f"{layer}.{name}"
-            df = df.select(*self.read(layer, name).columns)
+            df = df.select(*self._table(layer, name).columns)
             # insertInto takes the overwrite mode from the session only
             mode = "spark.sql.sources.partitionOverwriteMode"
             before = self._spark.conf.get(mode)
@@ -74,13 +140,12 @@ class Store:
             self._by_month(df, month, cluster_by).option(
                 "partitionOverwriteMode", "dynamic"
             ).save(self._path(layer, name))
-        written = self.read(layer, name)
+        written = self._table(layer, name)
         # only the months themselves come here, which the calendar bounds
         filled = {r[0] for r in df.select(month).distinct().collect()}
         empty = written.drop(month).limit(0)
         for gone in set(months) - filled:
             self._empty(empty, layer, name, month, gone)
-        return self.read(layer, name)
 
     def _empty(
         self, empty: DataFrame, layer: str, name: str, month: str, gone: dt.date | None

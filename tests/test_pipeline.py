@@ -370,3 +370,43 @@ def test_catalog_tables(spark, tmp_path):
     store.replace(df.limit(1), layer, "t2")
     assert store.read(layer, "t2").count() == 1
     spark.sql(f"DROP DATABASE {layer} CASCADE")
+
+
+@pytest.mark.parametrize("cut", ["aside", "listed", "put", "empty"])
+def test_a_refresh_cut_short_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, cut):
+    store = Store(spark, f"{tmp_path}/t")
+    df = spark.createDataFrame(
+        [(1, D(2024, 1, 1), "s"), (2, D(2024, 2, 1), "s"), (3, D(2024, 3, 1), "s")], "id int, m date, s string"
+    )
+    store.replace_months(df, "curated", "t", "m", "s")
+    old = {(1, D(2024, 1, 1)), (2, D(2024, 2, 1)), (3, D(2024, 3, 1))}
+    new = {(1, D(2024, 1, 1)), (9, D(2024, 3, 1))}  # February is emptied, March has another row
+    fresh = df.filter("id = 3").withColumn("id", F.lit(9))
+
+    class Lost(Exception):
+        pass
+
+    def lost(*args, **kwargs):
+        raise Lost
+
+    saves = []
+    save = Store._save
+
+    def counted(self, writer, layer, name):
+        if cut == ("aside", "listed", "")[min(len(saves), 2)]:
+            raise Lost
+        saves.append(name)
+        save(self, writer, layer, name)
+
+    with monkeypatch.context() as patch:
+        if cut in ("put", "empty"):
+            patch.setattr(Store, "_put" if cut == "put" else "_empty", lost)
+        else:
+            patch.setattr(Store, "_save", counted)
+        with pytest.raises(Lost):
+            store.refresh_months(fresh, "curated", "t", "m", "s", [D(2024, 2, 1), D(2024, 3, 1)])
+    found = {(r.id, r.m) for r in Store(spark, f"{tmp_path}/t").read("curated", "t").collect()}
+    assert found == (old if cut in ("aside", "listed") else new)
+    # and the same refresh again ends in the new table
+    store.refresh_months(fresh, "curated", "t", "m", "s", [D(2024, 2, 1), D(2024, 3, 1)])
+    assert {(r.id, r.m) for r in store.read("curated", "t").collect()} == new
