@@ -14,9 +14,9 @@ The others branch on. A group of any number of near copies so costs one comparis
 never meets in one task.
 
 Each document is first verified with the one of a smaller number that it resembles most in any
-leaf; components follow, and only pairs that still lie in different components are made and
-verified after that, leaf by leaf, so that a set travels once for a leaf and not for a pair. Every
-link reported is exact; the trees decide the recall.
+leaf; components follow. Members that resemble one of another component then bring their full
+sets to the leaf, where all intersections are counted at once; pairs never leave it, only a
+forest of its links does. Every link reported is exact; the trees decide the recall.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ TOKENS = 128
 TREES = 10
 #: Levels made at once: first for all sets, then for those in large nodes.
 FIRST_LEVELS, MORE_LEVELS = 3, 2
-#: A node with at most so many sets is a leaf.
+#: A node with at most so many sets (and shingles, below) is a leaf.
 LEAF = 1024
 #: Bits of two sketches that agree: 90% are expected at similarity 0.8 (115 of 128, deviation
 #: 3.4). Pivots look farther, to see what lies beyond their links.
@@ -47,8 +47,9 @@ ALIKE, IN_SIGHT = 102, 96
 HORIZON = 0.32
 #: Shingles whose minwise values are made at once; tasks that share a pivot's set.
 BLOCK, SALTS = 4096, 256
-#: Shingles of the sets that a task may hold at once for their pairs.
-TOGETHER = 1 << 22
+#: Shingles that the sets of a leaf have at most, as a task holds them all (32 MB), and how many
+#: different ones are counted at once.
+TOGETHER, COLUMNS = 1 << 22, 4096
 
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS = _RANDOM.integers(1, 1 << 32, TOKENS, np.uint32) | np.uint32(1)
@@ -160,9 +161,9 @@ def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _alike_in_leaves(percent: int, by_component: bool):
     """Sketch comparison of everything in the nodes of a partition sorted by node and id.
 
-    By component: all pairs (node, a, b) whose components differ. Otherwise a row (node, id, n, s1, s2,
-    differing, closest) for every member that resembles another; `closest` is the one with the
-    fewest differing bits among those of smaller id, null if there is none.
+    A row (node, id, n, s1, s2, differing, closest) for every member that resembles another;
+    `closest` is the one with the fewest differing bits among those of smaller id, null if there
+    is none. By component, only members of different components count.
     """
 
     def pairs_of(node, n, s1, s2, label) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,9 +189,6 @@ def _alike_in_leaves(percent: int, by_component: bool):
     def settled(rows: list[np.ndarray]) -> pa.RecordBatch:
         node, ident, n, s1, s2 = rows[:5]
         a, b, near = pairs_of(node, n.astype(np.int64), s1.view(np.uint64), s2.view(np.uint64), rows[5] if by_component else None)
-        if by_component:
-            columns = [pa.array(x) for x in (node[a], ident[a], ident[b])]
-            return pa.RecordBatch.from_arrays(columns, names=["node", "a", "b"])
         order = np.lexsort((a, near, b))
         has, at = np.unique(b[order], return_index=True)
         closest, differing = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
@@ -283,44 +281,51 @@ class Sets:
         return durable(joined.select("a", "b", "common", (F.col("both") - F.col("common")).alias("total")))
 
 
-    def compared_by_node(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, common, total) of pairs (node, a, b), where a node has a bounded number of sets.
+def _links_in_leaves(percent: int):
+    """From (node, id, shingles) sorted by node: a forest (a, b) of the exact links of each."""
+
+    def settled(ids: list[int], own: list[np.ndarray]) -> list[tuple[int, int]]:
+        common = np.zeros((len(own), len(own)), np.int64)
+        row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        every = np.concatenate(own)
+        order = np.argsort(every, kind="stable")
+        every, row = every[order], row[order]
+        column = np.cumsum(np.concatenate([[0], (every[1:] != every[:-1]).astype(np.int64)]))
+        for first in range(0, int(column[-1]) + 1, COLUMNS):
+            part = slice(*np.searchsorted(column, [first, first + COLUMNS]))
+            held = np.zeros((len(own), COLUMNS), np.float32)
+            held[row[part], column[part] - first] = 1
+            common += (held @ held.T).astype(np.int64)  # at most COLUMNS, exact in 32 bits
+        sizes = common.diagonal()
+        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        root, links = np.arange(len(own)), []
+        for i in range(1, len(own)):
+            for group in np.unique(root[:i][linked[i, :i]]).tolist():
+                if group != root[i]:
+                    beside = np.flatnonzero(linked[i, :i] & (root[:i] == group))[0]
+                    links.append((ids[int(beside)], ids[i]))
+                    root[root == root[i]] = group
+        return links
 
-        A node whose sets together have more than `TOGETHER` shingles is cut in slots, and pairs
-        go by the slots of both.
-        """
-        key = ["node", "slot_a", "slot_b"]
-
-        def members(of: list[str]) -> DataFrame:
-            one = [placed.select(*of, F.col(c).alias("id")) for c in ("a", "b")]
-            return one[0].union(one[1]).distinct()
-
-        placed = pairs
-        weights = members(["node"]).join(self.distinct.select("id", "n"), "id").groupBy("node")
-        slots = durable(weights.agg(F.ceil(F.sum("n") / F.lit(TOGETHER)).alias("slots")))
-        slot = [F.pmod(F.xxhash64(c), "slots").alias(f"slot_{c}") for c in ("a", "b")]
-        placed = durable(pairs.join(slots, "node").select("node", *slot, "a", "b"))
-        to = [f"to_{c}" for c in key]
-        sent = members(key).join(self.full(pairs), "id")
-        sent = sent.select(*[F.col(c).alias(t) for c, t in zip(key, to, strict=True)], "id", "shingles")
-        found = placed.groupBy(*key).cogroup(sent.groupBy(*to)).applyInArrow(
-            _intersected, "a long, b long, common long, total long"
-        )
-        return durable(found)
+    def batch_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = [pa.array([x[i] for x in links], pa.int64()) for i in range(2)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, ids, own = None, [], []
+        for batch in batches:
+            shingles = (x.values.to_numpy() for x in batch.column(2))
+            for at, ident, mine in zip(*(batch.column(i).to_pylist() for i in range(2)), shingles, strict=True):
+                if at != node and len(ids) > 1:
+                    yield batch_of(settled(ids, own))
+                if at != node:
+                    node, ids, own = at, [], []
+                ids.append(ident)
+                own.append(mine)
+        if len(ids) > 1:
+            yield batch_of(settled(ids, own))
 
-def _intersected(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-    own = dict(zip(sets["id"].to_pylist(), (x.values.to_numpy() for x in sets["shingles"]), strict=True))
-    a, b = (pairs[c].to_pylist() for c in ("a", "b"))
-    common, total = [], []
-    for x, y in zip(a, b, strict=True):
-        small, large = sorted((own[x], own[y]), key=len)
-        at = np.searchsorted(large, small)
-        shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-        common.append(shared)
-        total.append(len(small) + len(large) - shared)
-    columns = [pa.array(c, pa.int64()) for c in (a, b, common, total)]
-    return pa.table(dict(zip(("a", "b", "common", "total"), columns, strict=True)))
+    return run
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -345,24 +350,24 @@ def set_links(sets: Sets, percent: int = 80, trees: int = TREES, leaf: int = LEA
     while True:
         drawn = F.xxhash64("id", F.lit(level))
         nodes = members.groupBy("node").agg(
-            F.count(F.lit(1)).alias("size"), F.min(F.struct(drawn.alias("d"), "id", "s1", "s2")).alias("pivot")
+            F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min(F.struct(drawn.alias("d"), "id", "s1", "s2")).alias("pivot")
         ).filter("size > 1")
         nodes = durable(
             nodes.select(
-                F.col("node").alias("at"), "size", F.col("pivot.id").alias("p"),
+                F.col("node").alias("at"), ((F.col("size") <= leaf) & (F.col("weight") <= TOGETHER)).alias("is_leaf"), F.col("pivot.id").alias("p"),
                 F.col("pivot.s1").alias("p1"), F.col("pivot.s2").alias("p2"),
             )
         )
         placed = members.join(nodes, F.col("node") == F.col("at")).drop("at")
         found = durable(
-            _leaves(placed.filter(F.col("size") <= leaf).select(*MEMBERS)).mapInArrow(
+            _leaves(placed.filter("is_leaf").select(*MEMBERS)).mapInArrow(
                 _alike_in_leaves(percent, False), MEMBER + ", differing long, closest long"
             )
         )
         alike = found if alike is None else alike.union(found)
-        if nodes.filter(F.col("size") > leaf).isEmpty():
+        if nodes.filter("not is_leaf").isEmpty():
             break
-        large = durable(placed.filter(F.col("size") > leaf).withColumn("seen", _agreeing("p1", "p2") >= IN_SIGHT))
+        large = durable(placed.filter("not is_leaf").withColumn("seen", _agreeing("p1", "p2") >= IN_SIGHT))
         seen = large.filter("seen and id <> p")
         compared = sets.compared(seen.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
         own = _linked(compared, percent)
@@ -399,13 +404,16 @@ def set_links(sets: Sets, percent: int = 80, trees: int = TREES, leaf: int = LEA
     roots = components(links)
     labelled = alike.join(roots.select(F.col("node").alias("of"), "root"), F.col("id") == F.col("of"), "left")
     label = F.coalesce("root", "id").alias("label")
-    apart = _leaves(labelled.select(*MEMBERS, label)).mapInArrow(
-        _alike_in_leaves(percent, True), "node long, a long, b long"
+    apart = durable(
+        _leaves(labelled.select(*MEMBERS, label))
+        .mapInArrow(_alike_in_leaves(percent, True), MEMBER + ", differing long, closest long")
+        .select("node", "id")
     )
-    rest = durable(apart.groupBy("a", "b").agg(F.min("node").alias("node")))
-    if rest.isEmpty():
+    if apart.isEmpty():
         return links
-    return links.union(_linked(sets.compared_by_node(rest), percent))
+    full = sets.full(apart.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    brought = _leaves(apart.join(full, "id").select("node", "id", "shingles"))
+    return links.union(brought.mapInArrow(_links_in_leaves(percent), "a long, b long"))
 
 
 def near_duplicates(
