@@ -8,6 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from schoolyard import functions as fn
 from schoolyard.plans import cards, profile, report
 
 D = dt.date
@@ -187,3 +188,24 @@ def test_coverage_thresholds(spark):
         "low": (3, True),
         "high": (3, False),
     }
+
+
+def test_group_checks_name_the_lowest_failing_keys(spark):
+    day = D(2024, 1, 1)
+    rows = [
+        ("erp_a", "1", "c1", day, 100.0), ("erp_b", "2", "c1", day, 100.4),  # within 1.0
+        ("erp_a", "3", "c2", day, 100.0), ("erp_b", "4", "c2", day, 101.0),  # exactly 1.0 apart
+        ("erp_a", "5", "c3", day, 5.0), ("erp_a", "6", "c3", day, 5.0),  # one system only
+        ("erp_a", "7", "c0", day, 7.0), ("erp_b", "8", "c0", day, 6.5),
+    ]
+    df = spark.createDataFrame(
+        rows, "source_system string, source_order_id string, contract_id string, order_date date, total double"
+    )
+    lines = df.groupBy(*report.ORDER_KEY).agg(fn.exact_total("total").alias("amount"))
+    groups = profile.both_system_groups(df)
+    close = profile.duplicate_orders_across_systems(df, lines)
+    got = profile.group_checks({"strict": (groups, close), "none": (groups, close.filter("false"))}, sample=1)
+    assert [tuple(r) for r in got.collect()] == [
+        ("strict", 3, 1, 1 / 3, False, f"c0/{day}"),
+        ("none", 3, 3, 1.0, True, None),
+    ]
