@@ -372,6 +372,21 @@ UNION ALL SELECT 'school_cross_system_match', count(*), count(coalesce(erp_a_cus
         "row_count_reconciliation": f"""
 SELECT table_name, n_rows, n_clean_rows, n_rows = n_clean_rows AS matches
 FROM (VALUES {counts}) v(table_name, n_rows, n_clean_rows)""",
+        "load_report": """
+SELECT 'support_ticket-' || e % 16 || '.csv' AS file, count(*) AS n_lines,
+       count(*) FILTER (e % 97 NOT IN (5, 7, 11)) AS n_read,
+       count(*) FILTER (e % 97 = 11) AS n_open_quote,
+       count(*) FILTER (e % 97 = 5) AS n_too_few_values,
+       count(*) FILTER (e % 97 = 7) AS n_too_many_values
+FROM x_event GROUP BY e % 16""",
+        "load_rejects": """
+SELECT 'support_ticket-' || e % 16 || '.csv' AS file, e::VARCHAR AS ticket,
+       CASE e % 97 WHEN 5 THEN 'too few values' WHEN 7 THEN 'too many values'
+                   ELSE 'open quote' END AS reason
+FROM x_event WHERE e % 97 IN (5, 7, 11)""",
+        "loaded_tickets": f"""
+SELECT * FROM ({_all("c_support_ticket", _CLEAN_DATES["support_ticket"])})
+WHERE ticket_id % 97 NOT IN (5, 7, 11)""",
         "key_match_rate": _matches(
             "c_crm_account", "cnpj", {"erp_a": "c_erp_a_customer", "erp_b": "c_erp_b_escola"}
         ),

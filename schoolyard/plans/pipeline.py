@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,3 +126,11 @@ def refresh_deliveries(ws: Workspace, store: Store, since: dt.date) -> DataFrame
         lambda recent: curated.deliveries(recent, ws.order_keys),
         since,
     )
+
+
+def cluster(store: Store, months: Collection[dt.date | None] | None = None) -> None:
+    """Lay the monthly tables out by range of their keys: orders by school, deliveries by order.
+
+    Meant for months that have settled; a refresh rewrites its months in the plain layout."""
+    for entity, (_, key) in _MONTHLY.items():
+        store.cluster_months("curated", curated_name(entity), MONTH, key, months)

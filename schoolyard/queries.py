@@ -16,6 +16,7 @@ from schoolyard.plans import cards, declared, extensions, profile
 from schoolyard.plans.clean import CLEAN
 from schoolyard.plans.report import PARTS, Scope
 from schoolyard.plans.workspace import Workspace
+from schoolyard.sources.load import parsed, report_of
 from schoolyard.sources.raw import RAW_TABLES, row_counts
 
 
@@ -188,6 +189,37 @@ def row_count_reconciliation(ws: Workspace) -> DataFrame:
     )
 
 
+def _ticket_lines(ws: Workspace) -> DataFrame:
+    """Tickets as the lines of 16 extracts, some of them damaged as transfers damage them."""
+    tickets = ws.raw["support_ticket"]
+    keep = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false"}
+    keep["ignoreTrailingWhiteSpace"] = "false"
+    written = F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in tickets.columns]), keep)
+    damage = F.col("id") % 97
+    line = (
+        F.when(damage == 5, F.regexp_replace(written, ",[^,]*$", ""))
+        .when(damage == 7, F.concat(written, F.lit(",x")))
+        .when(damage == 11, F.concat(F.lit('"'), written))
+        .otherwise(written)
+    )
+    file = F.concat(F.lit("support_ticket-"), (F.col("id") % 16).cast("string"), F.lit(".csv"))
+    return parsed(tickets.select(file.alias("file"), line.alias("line")), "support_ticket")
+
+
+def load_rejects(ws: Workspace) -> DataFrame:
+    """The lines of the ticket extracts that a load sets aside, and why."""
+    return (
+        _ticket_lines(ws)
+        .filter("reason IS NOT NULL")
+        .select("file", "reason", F.regexp_extract("line", '^"?([0-9]+)', 1).alias("ticket"))
+    )
+
+
+def loaded_tickets(ws: Workspace) -> DataFrame:
+    """Clean tickets from the lines that a load reads."""
+    return CLEAN["support_ticket"](_ticket_lines(ws).filter("reason IS NULL").select("values.*"))
+
+
 # -- profiles --------------------------------------------------------------
 
 
@@ -318,6 +350,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         profile.group_checks(declared.duplicate_checks(ws)), allowMissingColumns=True
     ),
     "row_count_reconciliation": row_count_reconciliation,
+    "load_report": lambda ws: report_of(_ticket_lines(ws)),
+    "load_rejects": load_rejects,
+    "loaded_tickets": loaded_tickets,
     "key_match_rate": key_match_rate,
     "contract_match_rate": contract_match_rate,
     "contract_overlap": lambda ws: profile.contract_overlap(ws.orders_unified, ws.line_activity),

@@ -1,8 +1,9 @@
-"""Written tables: replace-all, month-partitioned, and month-wise refresh."""
+"""Written tables: replace-all, month-partitioned, month-wise refresh, and clustering by range."""
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Collection
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the load stamp every written entity and report carries.
 STAMP = "dbt_updated_at"
+#: Rows of a file of a clustered table: about 128 MB of orders.
+FILE_ROWS = 2_000_000
 
 
 def stamped(df: DataFrame) -> DataFrame:
@@ -91,18 +94,47 @@ class Store:
         """
         self._finish(layer, name)
         columns = self._table(layer, name).columns
-        aside, listed = _aside(name), _listed(name)
-        self._save(self._by_month(df.select(*columns), month, cluster_by), layer, aside)
-        plan = [(m, month, cluster_by) for m in months]
-        self._save(
-            self._spark.createDataFrame(plan, "m date, month string, cluster string")
-            .coalesce(1)
-            .write.mode("overwrite"),
-            layer,
-            listed,
-        )
+        self._save(self._by_month(df.select(*columns), month, cluster_by), layer, _aside(name))
+        self._list(layer, name, [(m, month, cluster_by, None) for m in months])
+        return self.read(layer, name)
+
+    def cluster_months(
+        self,
+        layer: str,
+        name: str,
+        month: str,
+        cluster_by: str,
+        months: Collection[dt.date | None] | None = None,
+        file_rows: int = FILE_ROWS,
+    ) -> DataFrame:
+        """Lay the given months (all by default) out anew: files hold ranges of ``cluster_by``.
+
+        Rows are dealt by range of month and ``cluster_by``, about ``file_rows`` to a file, so a
+        filter on ``cluster_by`` meets one or two files a month by the ranges in their footers, and
+        Parquet's bloom filters spare those as well that do not hold the value. A value with very
+        many rows goes on over several files. The ranges are found on the two columns of the
+        written table; what the table is made from is not computed again. Rows stay as they are,
+        and a run that fails leaves the table whole, as for a refresh.
+        """
+        table = self.read(layer, name)
+        if months is not None:
+            dated = [m for m in months if m is not None]
+            wanted = F.col(month).isin(dated)
+            table = table.filter(wanted | F.col(month).isNull() if None in months else wanted)
+        found = [r[0] for r in table.select(month).distinct().collect()]  # bounded by the calendar
+        if found:
+            # put aside first: a table cannot be read and overwritten at once
+            self._save(table.write.mode("overwrite"), layer, _aside(name))
+            self._list(layer, name, [(m, month, cluster_by, file_rows) for m in found])
         return self.read(layer, name)
 
+    def _list(self, layer: str, name: str, plan: list[tuple]) -> None:
+        """Commit the months that wait aside; an empty list says that all are in place."""
+        listed = self._spark.createDataFrame(
+            plan, "m date, month string, cluster string, file_rows long"
+        )
+        self._save(listed.coalesce(1).write.mode("overwrite"), layer, _listed(name))
+
     def _finish(self, layer: str, name: str) -> None:
         """Put in place what a refresh has committed; nothing to do otherwise."""
         if not self._exists(layer, _listed(name)):
@@ -111,10 +143,9 @@ class Store:
         if not plan:
             return
         staged = self._table(layer, _aside(name))
-        column, cluster_by = plan[0]["month"], plan[0]["cluster"]
-        self._put(staged, layer, name, column, cluster_by, [r["m"] for r in plan])
-        done = self._spark.createDataFrame([], "m date, month string, cluster string")
-        self._save(done.coalesce(1).write.mode("overwrite"), layer, _listed(name))
+        column, cluster_by, file_rows = (plan[0][c] for c in ("month", "cluster", "file_rows"))
+        self._put(staged, layer, name, column, cluster_by, [r["m"] for r in plan], file_rows)
+        self._list(layer, name, [])
 
     def _put(
         self,
@@ -124,6 +155,7 @@ class Store:
         month: str,
         cluster_by: str,
         months: Collection[dt.date | None],
+        file_rows: int | None,
     ) -> None:
         if self._root is None:
             table = f"{layer}.{name}"
@@ -133,11 +165,12 @@ class Store:
             before = self._spark.conf.get(mode)
             self._spark.conf.set(mode, "dynamic")
             try:
-                self._arranged(df, month, cluster_by).write.mode("overwrite").insertInto(table)
+                arranged = self._arranged(df, month, cluster_by, file_rows)
+                arranged.write.mode("overwrite").insertInto(table)
             finally:
                 self._spark.conf.set(mode, before)
         else:
-            self._by_month(df, month, cluster_by).option(
+            self._by_month(df, month, cluster_by, file_rows).option(
                 "partitionOverwriteMode", "dynamic"
             ).save(self._path(layer, name))
         written = self._table(layer, name)
@@ -163,14 +196,27 @@ class Store:
             bare = self._spark.createDataFrame([], empty.schema)
             bare.write.mode("overwrite").parquet(f"{self._path(layer, name)}/{month}={folder}")
 
-    def _arranged(self, df: DataFrame, month: str, cluster_by: str) -> DataFrame:
-        # Rebalancing gathers a month in few files, yet splits a month that holds
-        # much of the data; a plain repartition would give it to one task.
-        return df.hint("rebalance", F.col(month)).sortWithinPartitions(month, cluster_by)
-
-    def _by_month(self, df: DataFrame, month: str, cluster_by: str):
-        arranged = self._arranged(df, month, cluster_by)
-        return arranged.write.mode("overwrite").partitionBy(month)
+    def _arranged(
+        self, df: DataFrame, month: str, cluster_by: str, file_rows: int | None = None
+    ) -> DataFrame:
+        if file_rows is None:
+            # Rebalancing gathers a month in few files, yet splits a month that holds
+            # much of the data; a plain repartition would give it to one task.
+            dealt = df.hint("rebalance", F.col(month))
+        else:
+            files = max(1, math.ceil(df.count() / file_rows))  # from the footers
+            # the hash of the row lets a value with many rows go on in the next file
+            dealt = df.repartitionByRange(files, month, cluster_by, F.xxhash64(*df.columns))
+        return dealt.sortWithinPartitions(month, cluster_by)
+
+    def _by_month(self, df: DataFrame, month: str, cluster_by: str, file_rows: int | None = None):
+        arranged = self._arranged(df, month, cluster_by, file_rows)
+        return (
+            arranged.write.mode("overwrite")
+            .partitionBy(month)
+            .option(f"parquet.bloom.filter.enabled#{cluster_by}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+        )
 
     def _save(self, writer, layer: str, name: str) -> None:
         if self._root is None:
