@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ SCHEMA = "vec_id long, embedding array<float>, rank int, v string"
 
 def brute(rows, k=10, every=100):
     usable = [
-        (i, n, [math.floor(1024 * x) for x in v])
+        (i, n, [math.floor(1024 * Fraction(x)) for x in v])
         for n, (i, v) in enumerate(rows)
         if v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
@@ -61,6 +62,47 @@ def test_large_components_are_exact(spark):
     assert run(spark, rows, k=4) == brute(rows, 4)
 
 
+def test_the_largest_doubles(spark):
+    top = 1.7976931348623157e308
+    rows = [(i, [top * (i % 3 - 1), -top, 0.25 * i]) for i in range(0, 400, 25)]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
+    assert sorted(map(str, (tuple(r) for r in top_k(df, 3, cell_sample=2).collect()))) == brute(rows, 3)
+
+
+def test_queries_go_where_their_kth_score_is_in_reach(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 1, (12, 16))
+    near = centres[np.arange(2400) % 12] + rng.normal(0, 0.02, (2400, 16))
+    rows = [(i, [f32(x) for x in v]) for i, v in enumerate(near.tolist())]
+    sent = []
+    route = topk._sent_on
+
+    def counted(queries, kth, sizes, boxes):
+        routed = route(queries, kth, sizes, boxes)
+        shards = sizes.agg({"shards": "sum"}).first()[0]
+        sent.append((routed.count(), queries.count() * (shards - 1), sum(len(b[0]) for b in boxes.values())))
+        return routed
+
+    monkeypatch.setattr(topk, "_sent_on", counted)
+    assert run(spark, rows, shard=100, every=20) == brute(rows, every=20)
+    pairs, all_pairs, cells = sent[0]
+    assert cells >= 12 and pairs < all_pairs / 4
+
+
+def test_cells_hold_every_point():
+    rng = np.random.default_rng(3)
+    points = np.round(rng.normal(0, 1, (600, 4)), 1)
+    points[:300] = points[0]  # ties up to the middle and beyond
+    planes = topk.fitted(points[::3], 16)
+    cells = topk.cells_of(planes, points)
+    assert len(set(cells.tolist())) >= 4 and len(set(cells[:300].tolist())) == 1
+    for c in set(cells.tolist()):
+        own = points[cells == c]
+        scores = np.floor(points * 1024) @ np.floor(own * 1024).T
+        most = topk.reach(own.min(axis=0)[None], own.max(axis=0)[None], points)
+        assert (scores.max(axis=1) <= most[:, 0]).all()
+
+
 def test_empty_table_and_no_query(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, [1.0]), (2, [2.0])]) == []
