@@ -197,7 +197,9 @@ def recurring_lines(
     )
     constant = F.size("constants")
     templates = templates.filter((constant > 0) & (constant * 100 >= F.col("words") * rules.constant_percent))
-    templates = templates.select("leaf", "line", F.xxhash64("leaf", "constants").alias("template"))
+    # written, so that the join shuffles both sides and adaptive execution can split a line that
+    # very many texts have; the grouping's own partitions it could not
+    templates = durable(templates.select("leaf", "line", F.xxhash64("leaf", "constants").alias("template")))
 
     found = lines.select("doc_id", "text_key", "number", "leaf", "line", "signature").join(
         templates, ["leaf", "line"]
