@@ -278,7 +278,9 @@ def learn(
     bound = F.lit(0)
     for lang, s in share.items():
         bound = F.when(F.col("lang") == lang, F.lit(min(1 << 40, int(s * (1 << 40))))).otherwise(bound)
-    drawn = labelled.withColumn("bound", bound).filter("draw < bound").dropDuplicates(["lang", "draw"])
+    # a repeated id counts once; with different texts the least of them, so that reruns agree
+    drawn = labelled.withColumn("bound", bound).filter("draw < bound")
+    drawn = drawn.groupBy("lang", "draw", "bound").agg(F.min("text").alias("text"))
     to_learn = F.col("draw") < F.col("bound") * (learn_docs / (learn_docs + calibrate_docs))
     counts = (
         drawn.filter(to_learn)
