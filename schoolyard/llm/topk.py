@@ -280,9 +280,12 @@ def _reached(boxes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
     return run
 
 
-def _planes(vectors: DataFrame, sample: int, least: int) -> dict[int, tuple | int]:
-    """Split planes by length of vectors, fitted on about `sample` of them, drawn by hash."""
-    n = vectors.count()
+def _planes(vectors: DataFrame, n: int, shard: int, sample: int, least: int) -> dict[int, tuple | int]:
+    """Split planes by length of vectors, fitted on about `sample` of all `n`, drawn by hash.
+
+    A cell is made for no less than a shard, as every cell in reach costs a query one copy.
+    """
+    least = max(least, -(-shard * min(sample, n) // max(1, n)))
     share = int(min(1.0, sample / max(1, n)) * (1 << 40))
     draw = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40))
     drawn = vectors.filter(draw < share).select("dims", "v").limit(2 * sample).collect()
@@ -347,7 +350,7 @@ def top_k(
         F.col(vector_col).cast("array<double>").alias("v"),
     )
     read = read.filter(usable).withColumn("dims", F.size("v"))
-    planes = _planes(read, sample, cell_sample)
+    planes = _planes(read, vectors.count(), shard, sample, cell_sample)
     in_cells = "row long, vec_id long, v array<double>, dims int, cell long"
     rows = durable(read.mapInArrow(_to_cells(planes), in_cells))
     boxes = _boxes_of(rows, planes)

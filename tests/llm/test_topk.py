@@ -66,7 +66,7 @@ def test_the_largest_doubles(spark):
     top = 1.7976931348623157e308
     rows = [(i, [top * (i % 3 - 1), -top, 0.25 * i]) for i in range(0, 400, 25)]
     df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<double>")
-    assert sorted(map(str, (tuple(r) for r in top_k(df, 3, cell_sample=2).collect()))) == brute(rows, 3)
+    assert sorted(map(str, (tuple(r) for r in top_k(df, 3, shard=2, cell_sample=2).collect()))) == brute(rows, 3)
 
 
 def test_queries_go_where_their_kth_score_is_in_reach(spark, monkeypatch):
@@ -86,7 +86,7 @@ def test_queries_go_where_their_kth_score_is_in_reach(spark, monkeypatch):
     monkeypatch.setattr(topk, "_sent_on", counted)
     assert run(spark, rows, shard=100, every=20) == brute(rows, every=20)
     pairs, all_pairs, cells = sent[0]
-    assert cells >= 12 and pairs < all_pairs / 4
+    assert cells >= 8 and pairs < all_pairs / 4
 
 
 def test_cells_hold_every_point():
