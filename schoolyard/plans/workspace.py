@@ -70,8 +70,12 @@ class Workspace:
     @cached_property
     def mapping_problems(self) -> DataFrame:
         """Manual mappings of tax ids (source_tax_id, target_tax_id) with what is wrong."""
+        seed = self.mapping
+        if seed is None:  # none were made
+            pair = [F.col("cnpj").alias("source_tax_id"), F.col("cnpj").alias("target_tax_id")]
+            seed = self.school_records.select(*pair).filter(F.lit(False))
         return mapping_problems(
-            self.mapping, fn.valid_digits("source_tax_id"), fn.valid_digits("target_tax_id")
+            seed, fn.valid_digits("source_tax_id"), fn.valid_digits("target_tax_id")
         )
 
     @cached_property
