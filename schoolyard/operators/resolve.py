@@ -40,7 +40,9 @@ def resolve_entity(
     """
     record = F.struct(F.col("source_id"), *[F.col(a) for a in attributes])
     per_source = [F.min(F.when(F.col(tag) == s, record)).alias(f"_{s}") for s in sources]
-    merged = records.filter(valid).groupBy(key).agg(*per_source)
+    # the hash comes first so that records are sorted by a number and not by keys that begin alike
+    by_hash = F.xxhash64(key).alias("_hash")
+    merged = records.filter(valid).groupBy(by_hash, key).agg(*per_source)
     return merged.select(
         F.coalesce(F.col(f"_{master}.source_id"), _synthetic(prefix, F.col(key))).alias(entity_id),
         F.col(key),
