@@ -8,9 +8,10 @@ from schoolyard.functions.amounts import (
     exact_sum,
     exact_total,
     merged,
-    merged_over,
     rounded,
+    running_difference,
     summed,
+    with_rounded,
 )
 from schoolyard.functions.dates import (
     date_or_null,
@@ -37,13 +38,14 @@ __all__ = [
     "in_year",
     "map_status",
     "merged",
-    "merged_over",
     "month_of",
     "norm_code",
     "rounded",
+    "running_difference",
     "scoped",
     "summed",
     "surrogate_key",
     "valid_digits",
     "valid_year",
+    "with_rounded",
 ]

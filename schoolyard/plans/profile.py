@@ -255,20 +255,19 @@ def delivered_sales(
     return (
         per_order.groupBy("school_id", "year_month")
         .agg(
-            fn.rounded(fn.merged("amount")).alias("ordered_amount"),
-            F.coalesce(
-                fn.rounded(fn.merged(F.when(F.col("drops") > 0, F.col("amount")))), F.lit(0.0)
-            ).alias("delivered_amount"),
+            fn.merged("amount").alias("ordered"),
+            fn.merged(F.when(F.col("drops") > 0, F.col("amount"))).alias("delivered"),
             F.count(F.lit(1)).alias("order_count"),
             F.coalesce(F.sum("drops"), F.lit(0)).alias("delivered_order_count"),
         )
+        .transform(fn.with_rounded, "ordered", "delivered")
         .join(names, "school_id")
         .select(
             "school_id",
             "school_name",
             "year_month",
-            "ordered_amount",
-            "delivered_amount",
+            F.col("ordered").alias("ordered_amount"),
+            F.coalesce("delivered", F.lit(0.0)).alias("delivered_amount"),
             "order_count",
             "delivered_order_count",
         )

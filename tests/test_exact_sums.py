@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,3 +58,34 @@ def test_difference_counts_a_missing_side_as_nothing(spark):
     df = spark.createDataFrame([(0.3, 0.1), (0.3, None), (None, 0.1)], "a double, b double")
     left = fn.rounded(fn.difference(fn.exact("a"), fn.exact("b"))).alias("d")
     assert [r.d for r in df.select(left).collect()] == [math.fsum([0.3, -0.1]), 0.3, None]
+
+
+def test_totals_of_many_groups_are_rounded_by_short_code(spark, drawn):
+    """As many groups are, in code that the JVM compiles: its methods stay under 8,000 bytes."""
+    inf, nan = float("inf"), float("nan")
+    more = {-1: [None], -2: [inf, 1.0], -3: [1e300, 1e300], -4: [2.0**62, 0.5], -5: [-inf, inf], -6: [-0.3],
+            -7: [2.0**53, 1.0], -8: [2.0**53, 1.0, 2.0**-60], -9: [-(2.0**28), -(2.0**-25), -(2.0**-60)],
+            -10: [2.0**61] * 40 + [0.5], -11: [-(2.0**53), -1.0, -(2.0**-60)], -12: [nan]}
+    rows = [(g, x) for g, values in (drawn | more).items() for x in values]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(13).cache()
+    totals = df.groupBy("g").agg(fn.exact_total("x").alias("s"), fn.exact_total(-F.col("x")).alias("n"))
+    frame = fn.with_rounded(totals, "s", "n")
+    got = {r.g: (r.s, r.n) for r in frame.collect()}
+    for g, values in (drawn | more).items():
+        if g == -1:
+            want = (None, None)
+        elif g in (-5, -12):
+            assert all(math.isnan(x) for x in got[g])
+            continue
+        else:
+            want = (math.fsum(values), math.fsum(-x for x in values))
+        assert got[g] == want, g
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = fn.with_rounded(totals, "s", "n")
+        code = spark._jvm.PythonSQLUtils.explainString(again._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
