@@ -6,7 +6,7 @@ of the similarity asked for), and documents that agree on a chosen token go on t
 choice follows from the node's path alone, so a document finds its nodes without the others.
 
 A node with few documents is a leaf: all its documents are compared by 128-bit sketches, and
-what passes is verified on the full sets. In a larger node everything is compared with one
+what passes is verified on the full sets; more than a task takes are compared part by part. In a larger node everything is compared with one
 pivot, exactly. Distance (one minus similarity) is a metric: a document linked with the pivot
 can only have partners outside the pivot's links if one lies within its own distance plus the
 threshold; where none does, it is settled and leaves the node. The pivot itself always leaves.
@@ -38,8 +38,9 @@ TOKENS = 128
 TREES = 10
 #: Levels made at once: first for all sets, then for those in large nodes.
 FIRST_LEVELS, MORE_LEVELS = 3, 2
-#: A node with at most so many sets (and shingles, below) is a leaf.
-LEAF = 1024
+#: A node with at most so many sets (and shingles, below) is a leaf; sets that a task compares
+#: with each other, about. A larger leaf is compared in parts, every two of them in a task.
+LEAF, ABREAST = 4096, 1024
 #: Bits of two sketches that agree: 90% are expected at similarity 0.8 (115 of 128, deviation
 #: 3.4). Pivots look farther, to see what lies beyond their links.
 ALIKE, IN_SIGHT = 102, 96
@@ -47,6 +48,8 @@ ALIKE, IN_SIGHT = 102, 96
 HORIZON = 0.32
 #: Shingles whose minwise values are made at once; tasks that share a pivot's set.
 BLOCK, SALTS = 4096, 256
+#: Words of 64 bits that tell which texts are asked for (2 MB, 6 MB as rows).
+FILTER = 1 << 18
 #: Shingles that the sets of a leaf have at most, as a task holds them all (32 MB), and how many
 #: different ones are counted at once.
 TOGETHER, COLUMNS = 1 << 22, 4096
@@ -248,6 +251,19 @@ class Sets:
         # numbers are drawn once, as the frame is written
         self.distinct = durable(distinct.withColumn("id", F.monotonically_increasing_id()))
 
+    def asked(self, owners: DataFrame) -> DataFrame:
+        """The texts whose keys `owners` has, and some by chance, picked where they are read.
+
+        One bit stands for a key. Where there are more keys than bits most texts pass; the join
+        with the owners decides.
+        """
+        word, bit = F.pmod("text_key", F.lit(FILTER)), F.pmod(F.shiftright("text_key", 40), F.lit(64)).cast("int")
+        of = owners.select(F.col("key").alias("text_key")).select(word.alias("word"), bit.alias("bit"))
+        bits = of.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        return self.texts.join(F.broadcast(bits), word == F.col("word")).filter(F.getbit("bits", bit) == 1).select(
+            "doc_id", "text_key", "text"
+        )
+
     def full(self, pairs: DataFrame) -> DataFrame:
         """(id, shingles) of all sets in pairs (a, b)."""
         wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -259,7 +275,7 @@ class Sets:
             "owners",
         )
         own = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("key"))
-        texts = self.texts.join(owners, own).select("id", "text").dropDuplicates(["id"])
+        texts = self.asked(owners).join(owners, own).select("id", "text").dropDuplicates(["id"])
         return durable(texts.mapInArrow(_shingled(self.width), "id long, shingles array<long>"))
 
     def compared(self, pairs: DataFrame) -> DataFrame:
@@ -337,6 +353,15 @@ def _agreeing(s1: str, s2: str) -> Column:
     return F.lit(TOKENS) - differing
 
 
+def _in_parts(placed: DataFrame) -> DataFrame:
+    """Members of leaves, with a node for every two parts of a leaf in place of a large one."""
+    own = F.pmod(F.xxhash64("id"), F.col("parts"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda part: part != own)
+    both = F.transform(others, lambda part: F.xxhash64("node", F.least(part, own), F.greatest(part, own)))
+    nodes = F.when(F.col("parts") > 2, both).otherwise(F.array("node"))
+    return placed.withColumn("node", F.explode(nodes)).select(*MEMBERS)
+
+
 def _leaves(members: DataFrame) -> DataFrame:
     return members.repartition("node").sortWithinPartitions("node", "id")
 
@@ -355,19 +380,19 @@ def set_links(sets: Sets, percent: int = 80, trees: int = TREES, leaf: int = LEA
         nodes = durable(
             nodes.select(
                 F.col("node").alias("at"), ((F.col("size") <= leaf) & (F.col("weight") <= TOGETHER)).alias("is_leaf"), F.col("pivot.id").alias("p"),
-                F.col("pivot.s1").alias("p1"), F.col("pivot.s2").alias("p2"),
+                F.col("pivot.s1").alias("p1"), F.col("pivot.s2").alias("p2"), F.ceil(F.col("size") * 2 / ABREAST).alias("parts"),
             )
         )
         placed = members.join(nodes, F.col("node") == F.col("at")).drop("at")
         found = durable(
-            _leaves(placed.filter("is_leaf").select(*MEMBERS)).mapInArrow(
+            _leaves(_in_parts(placed.filter("is_leaf"))).mapInArrow(
                 _alike_in_leaves(percent, False), MEMBER + ", differing long, closest long"
             )
         )
         alike = found if alike is None else alike.union(found)
         if nodes.filter("not is_leaf").isEmpty():
             break
-        large = durable(placed.filter("not is_leaf").withColumn("seen", _agreeing("p1", "p2") >= IN_SIGHT))
+        large = durable(placed.filter("not is_leaf").drop("parts").withColumn("seen", _agreeing("p1", "p2") >= IN_SIGHT))
         seen = large.filter("seen and id <> p")
         compared = sets.compared(seen.select(F.col("p").alias("a"), F.col("id").alias("b")).distinct())
         own = _linked(compared, percent)

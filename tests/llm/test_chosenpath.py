@@ -133,3 +133,35 @@ def test_paths_follow_from_tokens_alone():
     assert sorted(node[row == 0]) == sorted(node[row == 1])
     # an alike set keeps a shared node with even odds or better
     assert 1 <= len(node[row == 0]) <= 8
+
+
+def test_only_texts_asked_for_are_shuffled(spark, monkeypatch):
+    rows = [(i, f"{i} a b c d {i % 7}") for i in range(2000)]
+    sets = Sets(spark.createDataFrame(rows, SCHEMA), 2, "doc_id", "text")
+    few = sets.distinct.filter("owner.doc_id < 20")
+    owners = few.selectExpr("id", "owner.doc_id AS of", "owner.text_key AS key")
+    read = {r["doc_id"] for r in sets.asked(owners).collect()}
+    assert set(range(20)) <= read and len(read) < 30
+    # more keys than bits: more texts pass, and the sets are the same
+    pairs = few.selectExpr("id AS a", "id AS b")
+    right = sorted(tuple(r) for r in sets.full(pairs).selectExpr("id", "size(shingles)").collect())
+    monkeypatch.setattr(chosenpath, "FILTER", 1)
+    assert len({r["doc_id"] for r in sets.asked(owners).collect()}) > 100
+    assert sorted(tuple(r) for r in sets.full(pairs).selectExpr("id", "size(shingles)").collect()) == right
+    assert len(right) == 20
+
+
+def test_a_large_leaf_is_compared_in_parts(spark, monkeypatch):
+    """Every two members of a leaf meet, in nodes of a few."""
+    monkeypatch.setattr(chosenpath, "ABREAST", 8)
+    members = spark.range(40).selectExpr("7L AS node", "id", "5 AS n", "id AS s1", "id AS s2", "10L AS parts")
+    dealt: dict = {}
+    for r in chosenpath._in_parts(members.union(members.selectExpr("8L", "id", "n", "s1", "s2", "2L"))).collect():
+        dealt.setdefault(r["node"], set()).add(r["id"])
+    assert dealt.pop(8) == set(range(40)) and 7 not in dealt
+    assert len(dealt) == 45 and max(map(len, dealt.values())) < 25
+    met = {p for group in dealt.values() for p in itertools.combinations(sorted(group), 2)}
+    assert met == set(itertools.combinations(range(40), 2))
+    texts = family(60, 80, 1, 1) + family(40, 80, 4, 2) + family(12, 40, 2, 3)
+    rows = list(enumerate(texts))
+    assert got(near_duplicates(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
