@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Words are runs of characters other than the six ASCII white-space characters.
 SPACES = " \t\n\x0b\x0c\r"
+#: Tasks of a core that write what `gathered` gathers.
+TASKS_OF_CORE = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """`durable`, for what a shuffle has dealt out: written by a few tasks of each core at most.
+
+    Each task writes a file and its checksum, and for either Hadoop's local file system starts a
+    `chmod`; without adaptive coalescing that is two for each shuffle partition, round after round.
+    """
+    return durable(df.coalesce(TASKS_OF_CORE * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder as Parquet and read back."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"

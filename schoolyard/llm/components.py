@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schoolyard.llm.common import durable
+from schoolyard.llm.common import gathered
 
 
 def _smallest_beside(edges: DataFrame) -> DataFrame:
@@ -40,14 +40,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     a null end are left out. Each round is written to the checkpoint folder. The number of
     rounds grows with the logarithm of the longest path.
     """
-    edges = durable(
+    edges = gathered(
         links.filter(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
     before = None
     while True:
-        edges = durable(_small_star(_large_star(edges)))
+        edges = gathered(_small_star(_large_star(edges)))
         state = edges.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest"),

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schoolyard.llm.common import durable, free_name
+from schoolyard.llm.common import durable, free_name, gathered
 from schoolyard.llm.components import components
 
 SEED = 42
@@ -217,7 +217,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, dense_cell: int = DENSE
         raise ValueError("the grid has cells for at most 5 differing bits")
     point = _unary(F.col("fp"))
     halves = fps.select("fp", F.explode(F.concat(*[_cells(point, 16 * h, 16, h) for h in (0, 1)])).alias("cell"))
-    found = durable(_settled(halves.select("cell", "fp"), max_bits, dense_cell))
+    found = gathered(_settled(halves.select("cell", "fp"), max_bits, dense_cell))
     links = found.filter("b is not null")
     crowded = found.filter("b is null").select(F.col("a").alias("cell")).distinct()
     if not crowded.isEmpty():
@@ -236,9 +236,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, dense_cell: int = DENSE
 
 def fingerprint_groups(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     """(print, root, least): for every distinct fingerprint its group and its smallest doc_id."""
-    distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = gathered(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = components(fingerprint_links(distinct.select("fp"), max_bits))
-    return durable(
+    return gathered(
         distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
             F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root"), "least"
         )

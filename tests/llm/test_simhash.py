@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from schoolyard.llm import simhash
 from schoolyard.llm.components import components
-from schoolyard.llm.simhash import fingerprint, fingerprint_links, forest, near_duplicates
+from schoolyard.llm.simhash import fingerprint, fingerprint_groups, fingerprint_links, forest, near_duplicates
 
 
 def plain_fingerprint(text, k=4):
@@ -112,3 +112,27 @@ def test_documents(spark):
     expected = sorted((str(i), f"{prints[t]:016x}", ids[groups[prints[t]]]) for i, t in texts)
     assert sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in rows) == expected
     assert near_duplicates(docs.filter(F.lit(False))).count() == 0
+
+
+def test_groups_write_few_files(spark, monkeypatch):
+    """What comes out of shuffles is written by two tasks a core, however many partitions it has."""
+    prints = spark.createDataFrame([(i, 1 << i % 40) for i in range(80)], "doc_id long, fp long")
+    written, checkpoint = [], type(prints).checkpoint
+
+    def counted(df):
+        written.append(df.rdd.getNumPartitions())
+        return checkpoint(df)
+
+    monkeypatch.setattr(type(prints), "checkpoint", counted)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows = fingerprint_groups(prints).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.print, r.root, r.least) for r in rows} == {(1 << i, 1, i) for i in range(40)}
+    assert len(written) > 3
+    assert max(written) <= 2 * spark.sparkContext.defaultParallelism < 64
