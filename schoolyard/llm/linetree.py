@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schoolyard.llm.common import durable, free_name
+from schoolyard.llm.common import durable, free_name, gathered
 
 VARIABLE = b"<*>"
 _DIGIT = re.compile(rb"[0-9]")
@@ -199,12 +199,12 @@ def recurring_lines(
     templates = templates.filter((constant > 0) & (constant * 100 >= F.col("words") * rules.constant_percent))
     # written, so that the join shuffles both sides and adaptive execution can split a line that
     # very many texts have; the grouping's own partitions it could not
-    templates = durable(templates.select("leaf", "line", F.xxhash64("leaf", "constants").alias("template")))
+    templates = gathered(templates.select("leaf", "line", F.xxhash64("leaf", "constants").alias("template")))
 
     found = lines.select("doc_id", "text_key", "number", "leaf", "line", "signature").join(
         templates, ["leaf", "line"]
     )
-    found = durable(found.select("doc_id", "text_key", "number", "template", "signature"))
+    found = gathered(found.select("doc_id", "text_key", "number", "template", "signature"))
     drop = _recurring(found, "template", enough)
     return (
         found.join(drop, "template")

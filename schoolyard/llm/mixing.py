@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from schoolyard.llm.common import SPACES, durable, free_name
+from schoolyard.llm.common import SPACES, free_name, gathered
 
 #: Units that a chunk is expected to hold; a fold copies its list of settled units.
 CHUNK = 200
@@ -161,7 +161,7 @@ def _against_pool(units: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
         )
 
     start = F.struct("share", "pool", F.lit(True).alias("going"), F.slice("top", 1, 0).alias("done"))
-    folded = durable(sources.select("source", F.aggregate("top", start, settle).alias("fold")))
+    folded = gathered(sources.select("source", F.aggregate("top", start, settle).alias("fold")))
     settled = folded.select("source", F.inline("fold.done")).withColumn("part", F.lit(0.0)).drop("nth")
     gone = settled.select(*[F.col(c).alias(f"gone_{c}") for c in ("source", "doc_id", "size", "rep")])
     same = [F.col(c).eqNullSafe(F.col(f"gone_{c}")) for c in ("source", "doc_id", "size", "rep")]
@@ -197,9 +197,9 @@ def copies(
         words(F.col(text_col)).alias("size"),
     )
     # equal rows once, with their number: a hot id costs a row
-    counted = durable(light.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
+    counted = gathered(light.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
     by_source = counted.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    wanted = durable(targets(by_source, weights, most))
+    wanted = gathered(targets(by_source, weights, most))
     due = wanted.select(
         F.col("source").alias("of"),
         "source_size",
@@ -219,14 +219,14 @@ def copies(
         (F.col("each") - F.floor("each")).alias("part"),
     )
     settled, rest = _against_pool(units.filter("part > 0 and size > 0"), seed)
-    rest = durable(rest)
+    rest = gathered(rest)
     open_units = rest.filter("part > 0 and part < 1")
     # a pool that is used up or wholly taken needs no draw
     whole = rest.filter("part <= 0 or part >= 1").withColumn("whole", F.col("whole") + F.col("part").cast("int"))
     done = [units.filter("part = 0 or size = 0"), settled, whole]
     level = 0
     while True:
-        folds = durable(_chunks(open_units, level, seed, chunk))
+        folds = gathered(_chunks(open_units, level, seed, chunk))
         done.append(folds.select("source", F.inline("fold.done")).drop("order"))
         rest = folds.select("source", "chunks", "fold.open.*").drop("order")
         # the last residual of a source: one draw by itself, or none if it has become whole
@@ -267,7 +267,7 @@ def mix(
     equal number and the first ones by content one more.
     """
     taken = copies(docs, weights, most, seed, id_col=id_col, text_col=text_col, source_col=source_col)
-    shares = durable(
+    shares = gathered(
         taken.groupBy("source", "doc_id", "size").agg(
             F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")
         )
